@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
@@ -50,7 +50,8 @@ def in_range(df: DataFrame, column: str, start: datetime, end: datetime | None =
     if DAY in df.columns and column != DAY:
         kept = kept.filter(F.col(DAY) >= F.lit(start.astimezone(timezone.utc).date()))
         if end is not None:
-            kept = kept.filter(F.col(DAY) <= F.lit(end.astimezone(timezone.utc).date()))
+            last = end - timedelta(microseconds=1)
+            kept = kept.filter(F.col(DAY) <= F.lit(last.astimezone(timezone.utc).date()))
     return kept
 
 

@@ -11,7 +11,7 @@ from hazeline.plans.fetch import daily_plan, fetch_start, with_requests
 from hazeline.plans.publish import latest_extract, publish_copies
 from hazeline.plans.warehouse import append_new, high_water_date, read_warehouse, upsert
 from hazeline.scratch import new_dir
-from hazeline.sources.landing import good_rows, read_records, read_staged, stage
+from hazeline.sources.landing import day_folders, good_rows, read_records, read_staged, stage
 
 
 @dataclass(frozen=True)
@@ -24,7 +24,7 @@ class Loaded:
 
 def ingest(
     spark: SparkSession,
-    landing: str | list[str],
+    landing: str,
     warehouse: str,
     *,
     array_files: bool = True,
@@ -63,3 +63,27 @@ def build_latest(
 ) -> None:
     """Publish the rolling extract to every target."""
     publish_copies(latest_extract(read_warehouse(spark, warehouse), as_of, years), targets)
+
+
+def run_daily(
+    spark: SparkSession,
+    landing: str,
+    warehouse: str,
+    targets: list[str],
+    *,
+    as_of: date,
+    bootstrap_start: date,
+    lookback_days: int = 0,
+) -> Loaded | None:
+    """Load the day folders from the high-water mark up to `as_of`, then publish.
+
+    None when no day is owed; the extract is published either way.
+    """
+    start = fetch_start(
+        high_water_date(spark, warehouse, as_of), bootstrap_start, lookback_days
+    )
+    loaded = None
+    if start < as_of:
+        loaded = ingest(spark, day_folders(landing, start, as_of), warehouse)
+    build_latest(spark, warehouse, targets, as_of=as_of)
+    return loaded

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from hazeline.functions.paths import level_key
 from hazeline.functions.timestamps import parse_instant, utc_day
-from hazeline.operators.aggregates import latest_per_key, scalar
+from hazeline.operators.aggregates import scalar
 from hazeline.operators.filters import in_range
 from hazeline.schemas import DAY, KEY, MEASUREMENT, WAREHOUSE
 from hazeline.scratch import discard, new_dir
@@ -67,14 +67,46 @@ def touched_days(batch: DataFrame, limit: int = LISTED_DAYS) -> Column | None:
     return F.col(DAY).between(first, last)
 
 
-def new_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows of the batch whose key is not stored yet, one per key.
+def matched(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored and batch rows brought together by key: one row per key with both values.
 
-    A key repeated inside the batch is reduced before the join, so neither side of the join
-    has a key with more rows than the warehouse already holds of it.
+    Written as an aggregate over the union, not as a join: each side combines its copies of
+    a key before the shuffle, so a key that fills a third of a batch reaches its task as one
+    row per map task, and plain maxima fit a hash table that spills. (An anti-join would be
+    moved below the batch's de-duplication by the optimizer, ahead of the combining.) Of
+    several batch values for one key the greatest is taken, so a repeated run gives the same.
     """
-    single = latest_per_key(batch, [*KEY, DAY], ["value"])
-    return single.join(stored.select(*KEY), KEY, "left_anti")
+    keys = [*KEY, DAY]
+    value, nothing = F.col("value"), F.lit(None).cast("double")
+    sides = stored.select(
+        *keys,
+        F.lit(True).alias("in_store"),
+        F.lit(False).alias("in_batch"),
+        value.alias("stored_value"),
+        nothing.alias("batch_value"),
+    ).unionByName(
+        batch.select(
+            *keys,
+            F.lit(False).alias("in_store"),
+            F.lit(True).alias("in_batch"),
+            nothing.alias("stored_value"),
+            value.alias("batch_value"),
+        )
+    )
+    flags = ["in_store", "in_batch", "stored_value", "batch_value"]
+    return sides.groupBy(*keys).agg(*[F.max(name).alias(name) for name in flags])
+
+
+def new_rows(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Rows of the batch whose key is not stored yet, one per key."""
+    fresh = matched(stored, batch).filter(~F.col("in_store"))
+    return fresh.withColumnRenamed("batch_value", "value").select(*WAREHOUSE.names)
+
+
+def merged(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored and batch rows, one per key; the batch's value replaces the stored one."""
+    value = F.when(F.col("in_batch"), F.col("batch_value")).otherwise(F.col("stored_value"))
+    return matched(stored, batch).withColumn("value", value).select(*WAREHOUSE.names)
 
 
 def append_new(batch: DataFrame, path: str) -> None:
@@ -85,25 +117,7 @@ def append_new(batch: DataFrame, path: str) -> None:
     days = touched_days(batch)
     if days is not None:
         stored = read_warehouse(batch.sparkSession, path).filter(days)
-        write_days(new_rows(batch, stored), path)
-
-
-def merged(stored: DataFrame, batch: DataFrame) -> DataFrame:
-    """Stored and batch rows, one per key; the batch's value replaces the stored one.
-
-    Of several batch values for one key the greatest is taken, so a repeated run gives the
-    same. Three plain maxima fit a hash aggregate that combines before the shuffle.
-    """
-    union = stored.withColumn("fresh", F.lit(False)).unionByName(
-        batch.withColumn("fresh", F.lit(True))
-    )
-    best = union.groupBy(*KEY, DAY).agg(
-        F.max("fresh").alias("fresh"),
-        F.max(F.when(F.col("fresh"), F.col("value"))).alias("new_value"),
-        F.max(F.when(~F.col("fresh"), F.col("value"))).alias("old_value"),
-    )
-    value = F.when(F.col("fresh"), F.col("new_value")).otherwise(F.col("old_value"))
-    return best.withColumn("value", value).select(*WAREHOUSE.names)
+        write_days(new_rows(stored, batch), path)
 
 
 def upsert(batch: DataFrame, path: str) -> None:

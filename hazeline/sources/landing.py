@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +19,30 @@ from hazeline.session import settings
 ARRAY_BITS = 12
 
 
-def read_or_empty(reader_call, spark: SparkSession, schema: T.StructType) -> DataFrame:
+def read_or_empty(
+    read: Callable[[], DataFrame], spark: SparkSession, schema: T.StructType
+) -> DataFrame:
     """A path that is not there yet holds no rows; every other error is raised."""
     try:
-        return reader_call()
+        return read()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
 
 
+def day_folders(root: str, start: date, end: date) -> str:
+    """The folders of the days in [start, end) as one path.
+
+    A glob, because some days may have no folder; it keeps the listing to the days asked for.
+    """
+    days = [start + timedelta(days=number) for number in range((end - start).days)]
+    return root + "/{" + ",".join(day.strftime("%Y/%m/%d") for day in days) + "}"
+
+
 def read_records(
     spark: SparkSession,
-    path: str | list[str],
+    path: str,
     *,
     array_files: bool = True,
     mode: str = "PERMISSIVE",
