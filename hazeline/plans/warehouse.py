@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from hazeline.functions.paths import level_key
 from hazeline.functions.timestamps import parse_instant, utc_day
-from hazeline.operators.aggregates import scalar
+from hazeline.operators.aggregates import latest_per_key, scalar
 from hazeline.operators.filters import in_range
 from hazeline.schemas import DAY, KEY, MEASUREMENT, WAREHOUSE
 from hazeline.scratch import discard, new_dir
@@ -125,12 +125,18 @@ def upsert(batch: DataFrame, path: str) -> None:
 
     Only the days the batch touches are read and rewritten. Their new content is staged
     first: a rewrite that dies half-way is repeated from the staged rows, not from days that
-    are partly gone. `batch` is evaluated more than once, so pass a staged table.
+    are partly gone. Where none of the days is stored yet, as in a backfill, there is nothing
+    to lose and the rows are written once. `batch` is evaluated more than once, so pass a
+    staged table.
     """
     spark = batch.sparkSession
     days = touched_days(batch)
-    if days is not None:
-        stored = read_warehouse(spark, path).filter(days)
+    if days is None:
+        return
+    stored = read_warehouse(spark, path).filter(days)
+    if stored.select(DAY).isEmpty():
+        write_days(latest_per_key(batch.select(*WAREHOUSE.names), [*KEY, DAY], ["value"]), path)
+    else:
         _replace_days(spark, merged(stored, batch), path)
 
 

@@ -31,13 +31,22 @@ def read_or_empty(
         raise
 
 
+def tree_folders(root: str) -> str:
+    """Every sensor folder of a landing tree (yr/mnt/dy/sensor) as one path.
+
+    A path per sensor folder lets Spark list all of them in one distributed job; from the
+    root it would walk the tree on the driver, with a job for every day.
+    """
+    return root + "/*/*/*/*"
+
+
 def day_folders(root: str, start: date, end: date) -> str:
-    """The folders of the days in [start, end) as one path.
+    """The sensor folders of the days in [start, end) as one path.
 
     A glob, because some days may have no folder; it keeps the listing to the days asked for.
     """
     days = [start + timedelta(days=number) for number in range((end - start).days)]
-    return root + "/{" + ",".join(day.strftime("%Y/%m/%d") for day in days) + "}"
+    return root + "/{" + ",".join(day.strftime("%Y/%m/%d") for day in days) + "}/*"
 
 
 def read_records(

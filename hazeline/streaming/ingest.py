@@ -13,6 +13,9 @@ from hazeline.schemas import CORRUPT, KEY, RECORD_OR_CORRUPT
 from hazeline.session import settings
 from hazeline.sources.landing import good_rows, name_source, read_staged, stage
 
+# How many tasks share the copies of one key before they are compared with each other.
+SPREAD = 64
+
 # Keys and windows live on the executors' disks, not on their heaps.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -77,9 +80,14 @@ def first_per_key(measurements: DataFrame, delay: str) -> DataFrame:
     """One row per key among rows that arrive within `delay` of each other.
 
     For sinks that cannot look up what they hold. A row later than `delay` behind the newest
-    is dropped, so the delay has to cover the overlap of the fetches.
+    is dropped, so the delay has to cover the overlap of the fetches. Copies are dropped
+    twice, first apart by the task that read them: a key that fills much of a batch is
+    spread over `SPREAD` tasks, and the second step sees no more than `SPREAD` of its copies.
     """
-    return measurements.withWatermark("utc", delay).dropDuplicatesWithinWatermark(KEY)
+    spread = F.pmod(F.spark_partition_id(), F.lit(SPREAD))
+    marked = measurements.withWatermark("utc", delay).withColumn("spread", spread)
+    thinned = marked.dropDuplicatesWithinWatermark([*KEY, "spread"]).drop("spread")
+    return thinned.dropDuplicatesWithinWatermark(KEY)
 
 
 def window_readings(measurements: DataFrame, delay: str, width: str = "3 hours") -> DataFrame:

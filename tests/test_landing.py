@@ -111,7 +111,7 @@ def test_landed_cells_are_read_off_the_names(spark, tmp_path):
     write_file(day / "62543/pm25/T0000_T0300.json", [])
     write_file(day / "62543/pm25/T0300_T0600.json", [])
     write_file(day / "8039/pm25.json", [])
-    cells = landing.landed_cells(spark, str(tmp_path / "data"))
+    cells = landing.landed_cells(spark, landing.tree_folders(str(tmp_path / "data")))
     assert sorted(tuple(row) for row in cells.collect()) == [
         (date(2024, 2, 3), 8039, "pm25"),
         (date(2024, 2, 3), 62543, "pm1"),
@@ -126,6 +126,7 @@ def test_day_folders_skip_missing_days(spark, tmp_path):
     write_file(root / "2024/02/03/1/pm1.json", [record(1, "pm1")])
     write_file(root / "2024/02/05/1/pm1.json", [record(2, "pm1")])
     write_file(root / "2024/02/06/1/pm1.json", [record(3, "pm1")])
+    write_file(root / "2024/02/06/1/pm25/T0000_T0300.json", [record(4, "pm25")])
 
     def sensors(start, end):
         path = landing.day_folders(str(root), start, end)
@@ -134,7 +135,10 @@ def test_day_folders_skip_missing_days(spark, tmp_path):
 
     assert sensors(date(2024, 2, 3), date(2024, 2, 6)) == [1, 2]
     assert sensors(date(2024, 2, 5), date(2024, 2, 6)) == [2]
+    assert sensors(date(2024, 2, 6), date(2024, 2, 8)) == [3, 4]
     assert sensors(date(2025, 1, 1), date(2025, 1, 3)) == []
+    whole = landing.read_records(spark, landing.tree_folders(str(root)))
+    assert sorted(row[0] for row in whole.select("locationId").collect()) == [1, 2, 3, 4]
 
 
 def test_written_tree_reads_back_whole(spark, tmp_path):
