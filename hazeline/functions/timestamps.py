@@ -18,6 +18,9 @@ ISO_WALL = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 INDIA = "Asia/Kolkata"
 INDIA_OFFSET = "+05:30"
 INDIA_SHIFT = "INTERVAL '05:30' HOUR TO MINUTE"
+INDIA_SECONDS = 19_800
+HOUR_SECONDS = 3_600
+DAY_SECONDS = 86_400
 
 
 def parse_instant(text: Column, pattern: str = ISO) -> Column:
@@ -54,7 +57,21 @@ def utc_day(df: DataFrame, column: str) -> Column:
     """The UTC calendar day of the column, whatever the session time zone is."""
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):
         return F.col(column).cast("date")
-    return F.date_from_unix_date(F.floor(F.unix_seconds(column) / 86400).cast("int"))
+    return F.date_from_unix_date(F.floor(F.unix_seconds(column) / DAY_SECONDS).cast("int"))
+
+
+def epoch_seconds(df: DataFrame, column: str) -> Column:
+    """Whole seconds since 1970 in UTC; plain arithmetic, whatever the session time zone is."""
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        days = F.unix_date(F.col(column).cast("date")).cast("long")
+        clock = F.hour(column) * HOUR_SECONDS + F.minute(column) * 60 + F.second(column)
+        return days * DAY_SECONDS + clock
+    return F.unix_seconds(column)
+
+
+def wall_of_epoch(seconds: Column) -> Column:
+    """Seconds since 1970 as UTC wall clock."""
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def unix_round_trip(text: Column, pattern: str = ISO) -> Column:

@@ -192,11 +192,10 @@ def delimited_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", F.split("p_name", " ").alias("tokens")
     )
     files.write_delimited(part, path)
-    read = files.read_delimited(spark, path, part.schema)
-    return (
-        read.select(F.explode("tokens").alias("token"))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("parts"))
+    tables.delimited_view(spark, "hazeline_tokens", part.schema, path)
+    return spark.sql(
+        "SELECT token, count(*) AS parts FROM hazeline_tokens "
+        "LATERAL VIEW explode(tokens) AS token GROUP BY token"
     )
 
 
@@ -211,6 +210,21 @@ def json_explode_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _canonical(read.select(F.inline("data")))
 
 
+@registered(
+    f"""WITH {RECORDS_SQL}
+SELECT "locationId", parameter, unit, local_text AS "local", value FROM r"""
+)
+def external_table_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_dir(spark, "arrays")
+    landing.bounded_arrays(records(spark, sf_dir)).withColumnRenamed("records", "data").write.json(path)
+    schema = T.StructType([T.StructField("data", T.ArrayType(RECORD))])
+    tables.external_json_table(spark, "hazeline_staging_json", schema, path)
+    return spark.sql(
+        "SELECT m.locationId, m.parameter, m.unit, m.date.local, m.value "
+        "FROM hazeline_staging_json LATERAL VIEW explode(data) AS m"
+    )
+
+
 def _damaged_lines(spark: SparkSession, sf_dir: str) -> str:
     """One record per line; those of `error` events are cut off before their end."""
     path = new_dir(spark, "lines")

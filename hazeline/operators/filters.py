@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.functions.timestamps import (
+    DAY_SECONDS,
+    HOUR_SECONDS,
     INDIA,
+    INDIA_SECONDS,
     days_before,
+    epoch_seconds,
     half_open,
     moment,
-    to_india,
     utc_day,
-    utc_wall,
     year_bounds,
 )
 from hazeline.schemas import DAY
@@ -86,4 +88,5 @@ def sensor_class(location: Column, reference_ids: Iterable[int]) -> Column:
 
 def india_hour(df: DataFrame, column: str) -> Column:
     """Hour of the Indian day a row falls in."""
-    return F.hour(to_india(utc_wall(df, column)))
+    second_of_day = F.pmod(epoch_seconds(df, column) + INDIA_SECONDS, F.lit(DAY_SECONDS))
+    return F.floor(second_of_day / HOUR_SECONDS).cast("int")

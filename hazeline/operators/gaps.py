@@ -7,9 +7,15 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeline.functions.timestamps import (
+    DAY_SECONDS,
+    HOUR_SECONDS,
+    INDIA_SECONDS,
+    epoch_seconds,
+    wall_of_epoch,
+)
 from hazeline.operators.filters import REFERENCE, sensor_class
 from hazeline.plans.fetch import EVENING_HOUR, SLICE_HOURS
-from hazeline.functions.timestamps import from_india, to_india, utc_wall
 
 CELL = ["locationId", "parameter", "from_utc"]
 
@@ -23,20 +29,23 @@ def filled_cells(
     an equality on the cell and never a range join. Community rows outside the evening
     window belong to no daily cell.
     """
-    local = to_india(utc_wall(measurements, "utc"))
-    day = local.cast("date").cast("timestamp_ntz")
-    hour = F.hour(local)
+    local = epoch_seconds(measurements, "utc") + INDIA_SECONDS
+    second_of_day = F.pmod(local, F.lit(DAY_SECONDS))
+    day = local - second_of_day
     if sliced:
-        community = day + F.make_dt_interval(hours=hour - hour % SLICE_HOURS)
+        community = local - F.pmod(local, F.lit(SLICE_HOURS * HOUR_SECONDS))
     else:
-        community = F.when(hour >= EVENING_HOUR, day + F.make_dt_interval(hours=F.lit(EVENING_HOUR)))
+        evening = EVENING_HOUR * HOUR_SECONDS
+        community = F.when(second_of_day >= evening, day + evening)
     is_reference = sensor_class(F.col("locationId"), reference_ids) == REFERENCE
-    start = from_india(F.when(is_reference, day).otherwise(community))
-    return (
-        measurements.select("locationId", "parameter", start.alias("from_utc"))
-        .filter(F.col("from_utc").isNotNull())
+    start = F.when(is_reference, day).otherwise(community) - INDIA_SECONDS
+    # Whole numbers until the cells are distinct; few are left to turn into timestamps.
+    cells = (
+        measurements.select("locationId", "parameter", start.alias("start"))
+        .filter(F.col("start").isNotNull())
         .distinct()
     )
+    return cells.select("locationId", "parameter", wall_of_epoch(F.col("start")).alias("from_utc"))
 
 
 def gap_cells(plan: DataFrame, filled: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from hazeline.functions.timestamps import ISO
 from hazeline.schemas import ddl_columns
-from hazeline.sources.files import CSV_OPTIONS
+from hazeline.sources.files import CSV_OPTIONS, read_delimited
 
 
 def _quoted(text: str) -> str:
@@ -27,15 +27,50 @@ def external_csv_table(
     A header line is declared, so it is not read as data.
     """
     options = {**CSV_OPTIONS, "header": str(header).lower()}
+    return _external_table(spark, name, schema, location, "csv", options)
+
+
+def external_json_table(
+    spark: SparkSession, name: str, schema: T.StructType, location: str
+) -> DataFrame:
+    """External table over JSON lines, nested columns included; malformed lines are ignored."""
+    return _external_table(spark, name, schema, location, "json", {"mode": "DROPMALFORMED"})
+
+
+def _external_table(
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    location: str,
+    source: str,
+    options: dict[str, str],
+) -> DataFrame:
     listed = ", ".join(f"{_quoted(key)} = {_quoted(value)}" for key, value in options.items())
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
-        f"CREATE TABLE {name} ({ddl_columns(schema)}) USING csv "
+        f"CREATE TABLE {name} ({ddl_columns(schema)}) USING {source} "
         f"OPTIONS ({listed}) LOCATION {_quoted(location)}"
     )
     return spark.table(name)
 
 
+def delimited_view(
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    location: str,
+    *,
+    separator: str = ",",
+    item_separator: str = "|",
+) -> DataFrame:
+    """View over delimited text with array columns, which the CSV source itself does not have."""
+    rows = read_delimited(
+        spark, location, schema, separator=separator, item_separator=item_separator
+    )
+    rows.createOrReplaceTempView(name)
+    return spark.table(name)
+
+
 def orc_table(
     spark: SparkSession, name: str, schema: T.StructType, location: str | None = None
 ) -> DataFrame:

@@ -108,6 +108,25 @@ def test_external_table_skips_its_header(spark, tmp_path):
     assert files.read_csv(spark, path, MEASUREMENT, header=True).count() == 1
 
 
+def test_json_table_ignores_malformed_lines(spark, tmp_path):
+    good = '{"data": [{"location": "Mumbai", "value": 1.5}, {"location": "Chennai", "value": 2.5}]}'
+    write_file(tmp_path / "json/a.json", good + '\n{"data": [{"location": "Kol\n')
+    schema = T.StructType.fromDDL("data array<struct<location: string, value: double>>")
+    tables.external_json_table(spark, "test_json", schema, str(tmp_path / "json"))
+    found = spark.sql("SELECT m.location, m.value FROM test_json LATERAL VIEW explode(data) AS m")
+    assert sorted(map(tuple, found.collect())) == [("Chennai", 2.5), ("Mumbai", 1.5)]
+    spark.sql("DROP TABLE test_json")
+
+
+def test_delimited_view(spark, tmp_path):
+    write_file(tmp_path / "text/a.csv", "1,pm1;pm25\n2,pm10\n")
+    schema = T.StructType.fromDDL("id bigint, parameters array<string>")
+    view = tables.delimited_view(
+        spark, "test_delimited", schema, str(tmp_path / "text"), item_separator=";"
+    )
+    assert sorted(map(tuple, view.collect())) == [(1, ["pm1", "pm25"]), (2, ["pm10"])]
+
+
 def test_insert_converts_text_times(spark, tmp_path):
     schema = T.StructType(
         [

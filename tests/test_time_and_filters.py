@@ -8,11 +8,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from hazeline.functions.timestamps import (
+    epoch_seconds,
     india_text,
     parse_instant,
     unix_round_trip,
     utc_day,
     utc_wall,
+    wall_of_epoch,
 )
 from hazeline.operators import filters
 from hazeline.operators.projections import flattened, local_parsed
@@ -66,6 +68,17 @@ def test_utc_day_and_wall_in_another_session_zone(spark):
     assert row.wall == datetime(2023, 12, 31, 20, 30)
 
 
+def test_epoch_seconds_of_both_types(spark):
+    texts = ["1969-12-31 23:59:59.5", "1970-01-01", "2024-02-29 23:59:59.999999"]
+    df = walls(spark, *texts).withColumn("instant", F.col("utc").cast("timestamp"))
+    wanted = [-1, 0, 1709251199]
+    for column in ("utc", "instant"):
+        seconds = df.select(epoch_seconds(df, column).alias("seconds"))
+        assert [row.seconds for row in seconds.collect()] == wanted
+    back = df.select(wall_of_epoch(epoch_seconds(df, "utc")).cast("string").alias("wall"))
+    assert back.collect()[-1].wall == "2024-02-29 23:59:59"
+
+
 def test_years_are_utc_years_unless_asked_otherwise(spark):
     df = walls(spark, "2023-12-31 20:30:00", "2022-12-31 18:29:59", "2022-12-31 18:30:00")
     as_of = date(2024, 5, 1)
