@@ -29,7 +29,7 @@ def level_key(path: Column, name: str) -> Column:
 
 def day_parts(day: Column) -> dict[str, Column]:
     """Zero-padded year, month and day folders, cut from the ISO date."""
-    iso = F.date_format(day, "yyyy-MM-dd")
+    iso = day.cast("string")
     return {
         "yr": F.substring(iso, 1, 4),
         "mnt": F.substring(iso, 6, 2),
@@ -39,18 +39,25 @@ def day_parts(day: Column) -> dict[str, Column]:
 
 def landing_path(day: Column, location: Column, parameter: Column) -> Column:
     parts = day_parts(day)
-    return F.format_string(
-        "%s/%s/%s/%d/%s.json", parts["yr"], parts["mnt"], parts["dy"], location, parameter
-    )
+    folder = F.concat_ws("/", *parts.values(), location.cast("string"))
+    return F.concat(folder, F.lit("/"), parameter, F.lit(".json"))
 
 
 def request_text(location: Column, parameter: Column, from_local: Column, to_local: Column) -> Column:
     """Query string of one fetch; the bounds are Indian wall-clock times."""
-    stamp = "yyyy-MM-dd'T'HH:mm:ss"
-    return F.format_string(
-        "location_id=%d&parameter=%s&date_from=%s+05:30&date_to=%s+05:30",
-        location,
+    return F.concat(
+        F.lit("location_id="),
+        location.cast("string"),
+        F.lit("&parameter="),
         parameter,
-        F.date_format(from_local, stamp),
-        F.date_format(to_local, stamp),
+        F.lit("&date_from="),
+        _india_bound(from_local),
+        F.lit("&date_to="),
+        _india_bound(to_local),
     )
+
+
+def _india_bound(wall: Column) -> Column:
+    # Cut from the cast rather than formatted: plans have many rows, and a cast is cheap.
+    text = wall.cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("+05:30"))

@@ -109,6 +109,10 @@ def three_hour_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetch.slice_spine(spark, *_span(measurements(spark, sf_dir)))
 
 
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _owed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, date, date]:
     rows = measurements(spark, sf_dir)
     stored, _ = split(rows)
@@ -119,13 +123,13 @@ def _owed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, date, date]:
 
 @registered(f"WITH {_OWED_SQL}, {_plan_sql('days')} {_REQUEST_SQL}")
 def fetch_plan_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = fetch.with_requests(fetch.daily_plan(*_owed(spark, sf_dir)))
+    plan = fetch.with_requests(fetch.daily_plan(*_owed(spark, sf_dir), tasks=_tasks(spark)))
     return plan.drop("local_from", "local_to")
 
 
 @registered(f"WITH {_OWED_SQL}, {_HOURS_SQL}, {_sliced_sql('days')} {_REQUEST_SQL}")
 def fetch_plan_3h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = fetch.with_requests(fetch.sliced_plan(*_owed(spark, sf_dir)))
+    plan = fetch.with_requests(fetch.sliced_plan(*_owed(spark, sf_dir), tasks=_tasks(spark)))
     return plan.drop("local_from", "local_to")
 
 
@@ -139,7 +143,8 @@ FROM plan p WHERE NOT EXISTS (
 )
 def gap_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = measurements(spark, sf_dir)
-    plan = fetch.daily_plan(registry.registry_from(rows, REFERENCE_USERS), *_span(rows))
+    sensors = registry.registry_from(rows, REFERENCE_USERS)
+    plan = fetch.daily_plan(sensors, *_span(rows), tasks=_tasks(spark))
     missing = gaps.gap_cells(plan, gaps.filled_cells(rows, REFERENCE_USERS))
     return missing.select("locationId", "parameter", "day", "from_utc")
 
@@ -157,7 +162,8 @@ GROUP BY ALL"""
 )
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = measurements(spark, sf_dir)
-    plan = fetch.daily_plan(registry.registry_from(rows, REFERENCE_USERS), *_span(rows))
+    sensors = registry.registry_from(rows, REFERENCE_USERS)
+    plan = fetch.daily_plan(sensors, *_span(rows), tasks=_tasks(spark))
     return gaps.completeness(plan, gaps.filled_cells(rows, REFERENCE_USERS))
 
 
@@ -167,7 +173,8 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def completeness_3h(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = measurements(spark, sf_dir)
-    plan = fetch.sliced_plan(registry.registry_from(rows, REFERENCE_USERS), *_span(rows))
+    sensors = registry.registry_from(rows, REFERENCE_USERS)
+    plan = fetch.sliced_plan(sensors, *_span(rows), tasks=_tasks(spark))
     return gaps.completeness(plan, gaps.filled_cells(rows, REFERENCE_USERS, sliced=True))
 
 

@@ -3,23 +3,32 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from hazeline.plans.fetch import daily_plan, fetch_start, with_requests
 from hazeline.plans.publish import latest_extract, publish_copies
 from hazeline.plans.warehouse import append_new, high_water_date, read_warehouse, upsert
-from hazeline.scratch import new_dir
-from hazeline.sources.landing import day_folders, good_rows, read_records, read_staged, stage
+from hazeline.schemas import QUARANTINE
+from hazeline.scratch import discard, new_dir
+from hazeline.sources.files import read_orc
+from hazeline.sources.landing import (
+    bad_rows,
+    day_folders,
+    good_rows,
+    read_records,
+    read_staged,
+    stage,
+)
 
 
 @dataclass(frozen=True)
-class Loaded:
-    """What one ingest leaves behind: the staged good and bad rows."""
+class Staged:
+    """The parsed rows of one ingest, good and bad, and where they lie."""
 
-    staged: DataFrame
-    staged_path: str
+    rows: DataFrame
+    path: str
 
 
 def ingest(
@@ -29,17 +38,17 @@ def ingest(
     *,
     array_files: bool = True,
     keep_first: bool = False,
-) -> Loaded:
-    """Load a landing tree of any size in one pass.
+) -> Staged:
+    """Load a landing tree in one pass; the staged rows are left to the caller.
 
     `keep_first` keeps the stored value of a known key; the default takes the new one.
     """
-    staged_path = new_dir(spark, "staged")
-    stage(read_records(spark, landing, array_files=array_files), staged_path)
-    staged = read_staged(spark, staged_path)
+    path = new_dir(spark, "staged")
+    stage(read_records(spark, landing, array_files=array_files), path)
+    rows = read_staged(spark, path)
     load = append_new if keep_first else upsert
-    load(good_rows(staged), warehouse)
-    return Loaded(staged, staged_path)
+    load(good_rows(rows), warehouse)
+    return Staged(rows, path)
 
 
 def owed(
@@ -69,21 +78,36 @@ def run_daily(
     spark: SparkSession,
     landing: str,
     warehouse: str,
+    quarantine: str,
     targets: list[str],
     *,
     as_of: date,
     bootstrap_start: date,
     lookback_days: int = 0,
-) -> Loaded | None:
+    days_per_load: int = 31,
+) -> int:
     """Load the day folders from the high-water mark up to `as_of`, then publish.
 
-    None when no day is owed; the extract is published either way.
+    A long range is loaded a month at a time: a load shuffles that month only, and a run
+    that is cut off goes on from the newest loaded day. Bad rows go to a quarantine folder
+    per load, which a repeated load replaces; a file set aside by two loads is listed by
+    both. Returns the number of loads; the extract is published even when no day is owed.
     """
-    start = fetch_start(
+    first = fetch_start(
         high_water_date(spark, warehouse, as_of), bootstrap_start, lookback_days
     )
-    loaded = None
-    if start < as_of:
-        loaded = ingest(spark, day_folders(landing, start, as_of), warehouse)
+    loads = 0
+    while first < as_of:
+        last = min(first + timedelta(days=days_per_load), as_of)
+        staged = ingest(spark, day_folders(landing, first, last), warehouse)
+        bad = bad_rows(staged.rows)
+        bad.write.mode("overwrite").orc(f"{quarantine}/loaded_from={first}")
+        discard(spark, staged.path)
+        first, loads = last, loads + 1
     build_latest(spark, warehouse, targets, as_of=as_of)
-    return loaded
+    return loads
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Every row set aside, with the first day of its load."""
+    return read_orc(spark, path, QUARANTINE)

@@ -42,6 +42,12 @@ def slice_spine(spark: SparkSession, start: date, end: date, hours: int = SLICE_
     )
 
 
+def _spread(registry: DataFrame, tasks: int | None) -> DataFrame:
+    # A registry is small enough to end up in a few tasks, and its expansion is not. A plain
+    # count, because partitions by key may be merged again when they are small.
+    return registry if tasks is None else registry.repartition(tasks)
+
+
 def _with_slices(days: DataFrame, hours: int) -> DataFrame:
     midnight = F.col("day").cast("timestamp_ntz")
     slices = F.sequence(
@@ -61,13 +67,16 @@ def fetch_start(
     return high_water - timedelta(days=lookback_days)
 
 
-def daily_plan(registry: DataFrame, start: date, end: date) -> DataFrame:
+def daily_plan(
+    registry: DataFrame, start: date, end: date, *, tasks: int | None = None
+) -> DataFrame:
     """One fetch per sensor, parameter and Indian day of [start, end).
 
     Reference-grade sensors get the whole day, community sensors its last three hours. Each
-    registry row is expanded in place, so there is no join and no shuffle.
+    registry row is expanded in place, so there is no join. `tasks` spreads a large registry
+    over that many tasks before a long range multiplies it.
     """
-    planned = _with_days(registry, start, end)
+    planned = _with_days(_spread(registry, tasks), start, end)
     midnight = F.col("day").cast("timestamp_ntz")
     opening = F.when(F.col("sensor_class") == REFERENCE, 0).otherwise(EVENING_HOUR)
     return _as_plan(
@@ -77,9 +86,16 @@ def daily_plan(registry: DataFrame, start: date, end: date) -> DataFrame:
     )
 
 
-def sliced_plan(registry: DataFrame, start: date, end: date, hours: int = SLICE_HOURS) -> DataFrame:
+def sliced_plan(
+    registry: DataFrame,
+    start: date,
+    end: date,
+    hours: int = SLICE_HOURS,
+    *,
+    tasks: int | None = None,
+) -> DataFrame:
     """As `daily_plan`, with community sensors asked for all day in slices."""
-    planned = _with_days(registry, start, end)
+    planned = _with_days(_spread(registry, tasks), start, end)
     whole = F.array(F.lit(0))
     cut = F.array(*[F.lit(hour) for hour in range(0, 24, hours)])
     is_reference = F.col("sensor_class") == REFERENCE

@@ -68,6 +68,15 @@ STAGED = T.StructType(
     ]
 )
 
+QUARANTINE = T.StructType(
+    [
+        T.StructField("reason", T.StringType()),
+        T.StructField("raw", T.StringType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("loaded_from", T.DateType()),
+    ]
+)
+
 # The older five-column shape, still used by the CSV extracts and the SQL tables.
 READING = T.StructType(
     [

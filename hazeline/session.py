@@ -18,6 +18,10 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+# Where no master is given the session runs on a cluster; adaptive execution merges what a
+# small run does not need.
+CLUSTER = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192"}
+
 
 def build_session(app: str = "hazeline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the pipeline's defaults; on a cluster `master` comes from spark-submit.
@@ -27,7 +31,8 @@ def build_session(app: str = "hazeline", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master is not None:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    place = CLUSTER if master is None else {}
+    for key, value in {**DEFAULTS, **place, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

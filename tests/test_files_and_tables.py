@@ -9,11 +9,10 @@ from pyspark.sql import types as T
 from hazeline.operators.filters import kept_by_age
 from hazeline.plans import publish
 from hazeline.plans import warehouse as wh
-from hazeline.plans.cycle import build_latest, ingest, owed, run_daily
+from hazeline.plans.cycle import build_latest, ingest, owed, read_quarantine, run_daily
 from hazeline.operators.registry import default_registry
 from hazeline.schemas import MEASUREMENT, READING, ddl_columns
 from hazeline.sources import files, tables
-from hazeline.sources.landing import bad_rows
 from shapes import plain, record, rows, write_file
 
 MICROS = "2024-02-03T06:30:00.123456"
@@ -204,13 +203,26 @@ def test_published_days_are_replaced_and_old_years_not_read(spark, tmp_path):
 
 
 def test_daily_runs(spark, tmp_path):
-    landing, warehouse, latest = (str(tmp_path / name) for name in ("data", "warehouse", "latest"))
+    names = ("data", "warehouse", "quarantine", "latest")
+    landing, warehouse, quarantine, latest = (str(tmp_path / name) for name in names)
     root = tmp_path / "data/2024/02"
     write_file(root / "03/8039/pm25.json", [record(value=1.0), record(value=1.0)])
-    options = dict(bootstrap_start=date(2024, 2, 1))
+    bootstrap = date(2024, 2, 1)
 
-    first = run_daily(spark, landing, warehouse, [latest], as_of=date(2024, 2, 4), **options)
-    assert bad_rows(first.staged).count() == 0
+    def run(as_of, **options):
+        return run_daily(
+            spark,
+            landing,
+            warehouse,
+            quarantine,
+            [latest],
+            as_of=as_of,
+            bootstrap_start=bootstrap,
+            **options,
+        )
+
+    assert run(date(2024, 2, 4), days_per_load=2) == 2
+    assert read_quarantine(spark, quarantine).count() == 0
     assert plain(files.read_csv(spark, latest, MEASUREMENT, header=True)) == [
         (8039, "2024-02-03T06:30:00", "pm25", 1.0)
     ]
@@ -220,8 +232,9 @@ def test_daily_runs(spark, tmp_path):
     write_file(root / "03/8039/pm25.json", [record(value=2.0), late])
     write_file(root / "04/8118/pm25.json", [record(8118, utc="2024-02-04T06:30:00+00:00")])
     write_file(root / "04/8172/pm25.json", "[{")
-    second = run_daily(spark, landing, warehouse, [latest], as_of=date(2024, 2, 5), **options)
-    assert bad_rows(second.staged).count() == 1
+    assert run(date(2024, 2, 5)) == 1
+    (bad,) = read_quarantine(spark, quarantine).collect()
+    assert (bad.reason, bad.loaded_from) == ("malformed", date(2024, 2, 3))
     expected = [
         (8039, "2024-02-02T06:30:00", "pm25", 5.0),
         (8039, "2024-02-03T06:30:00", "pm25", 2.0),
@@ -231,9 +244,16 @@ def test_daily_runs(spark, tmp_path):
     assert plain(files.read_csv(spark, latest, MEASUREMENT, header=True)) == expected
 
     # The warehouse holds today already: nothing is owed.
-    assert run_daily(spark, landing, warehouse, [latest], as_of=date(2024, 2, 4), **options) is None
+    assert run(date(2024, 2, 4)) == 0
+    # Days fetched again are loaded again, and nothing is doubled, the quarantine included.
+    assert run(date(2024, 2, 5), lookback_days=1) == 1
+    assert plain(wh.read_warehouse(spark, warehouse)) == expected
     plan = owed(
-        spark, default_registry(spark), warehouse, as_of=date(2024, 2, 6), **options
+        spark,
+        default_registry(spark),
+        warehouse,
+        as_of=date(2024, 2, 6),
+        bootstrap_start=bootstrap,
     )
     days = {row.day for row in plan.select("day").distinct().collect()}
     assert days == {date(2024, 2, 4), date(2024, 2, 5)}
