@@ -46,13 +46,6 @@ def from_india(wall: Column) -> Column:
     return wall - F.expr(INDIA_SHIFT)
 
 
-def utc_wall(df: DataFrame, column: str) -> Column:
-    """The column as UTC wall clock (TIMESTAMP_NTZ), whatever the session time zone is."""
-    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
-        return F.col(column)
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(column))
-
-
 def utc_day(df: DataFrame, column: str) -> Column:
     """The UTC calendar day of the column, whatever the session time zone is."""
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):

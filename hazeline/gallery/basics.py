@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, time
+from datetime import datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -200,8 +200,6 @@ WHERE utc + INTERVAL '5 hours 30 minutes' >= CAST(as_of - 1 AS TIMESTAMP)
   AND utc + INTERVAL '5 hours 30 minutes' < CAST(as_of AS TIMESTAMP)"""
 )
 def window_slice_ist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from datetime import timedelta
-
     rows = measurements(spark, sf_dir)
     end = datetime.combine(aggregates.as_of_date(rows, "utc"), time.min)
     inside = filters.india_window(rows, "utc", end - timedelta(days=1), end)

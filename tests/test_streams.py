@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from hazeline.operators.aggregates import reading_summary, tumbling
 from hazeline.plans import warehouse as wh
 from hazeline.schemas import MEASUREMENT
-from hazeline.sources.landing import bad_rows, read_staged
+from hazeline.sources.landing import bad_rows, read_records, read_staged
 from hazeline.streaming import ingest
 from shapes import plain, record, write_file
 
@@ -71,8 +71,6 @@ def test_closed_windows_equal_the_batch_result(spark, tmp_path):
     )
     schema = windows.schema
     ingest.drain_to_files(windows, sink, checkpoint)
-    from hazeline.sources.landing import read_records
-
     batch = tumbling(
         ingest.measurement_stream(read_records(spark, landing)),
         "utc",
