@@ -44,9 +44,10 @@ from hazeline.llm.shipping import ship
 from hazeline.scratch import discard, new_dir
 
 LENGTH = 100
-HELD_CONTEXTS = 500_000  # of a task before it deals them
-QUEUE_ROWS = 8_000_000  # of a shard's sorter in memory; more go to disk
-MAPPED_BYTES = 256_000_000  # text of a shard from which it is mapped from disk
+HELD_CONTEXTS = 300_000  # of a task before it deals them
+SHARD_CONTEXTS = 12_000  # to sort in one task, about 1.6 MB of text, if grams allow
+QUEUE_ROWS = 1_000_000  # of a shard's sorter in memory; more go to disk
+MAPPED_BYTES = 64_000_000  # text of a shard from which it is mapped from disk
 
 CONTEXT = (("gram", "<u8"), ("code", "<u8"), ("doc", "<i8"), ("first", "<i8"), ("width", "<u2"))
 SPAN = (("doc", "<i8"), ("start", "<i8"), ("end", "<i8"))
@@ -209,7 +210,7 @@ def _requests(blobs: DataFrame, parts: int) -> DataFrame:
     )
 
 
-def _fetched(docs: DataFrame, wanted: DataFrame, length: int, parts: int) -> DataFrame:
+def _fetched(docs: DataFrame, wanted: DataFrame, length: int, shards: int) -> DataFrame:
     """The contexts' bytes, dealt by gram: packed contexts and their bytes, one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +223,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame, length: int, parts: int) -> Dat
             held.clear()
             sizes = columns[3].astype(np.int64) + (length - 1)
             ends = np.cumsum(sizes)
-            shard = (columns[1] % np.uint64(parts)).astype(np.int64)
+            shard = (_mixed(columns[1]) % np.uint64(shards)).astype(np.int64)
             for number in np.unique(shard).tolist():
                 of = np.flatnonzero(shard == number)
                 yield pa.RecordBatch.from_arrays(
@@ -281,7 +282,7 @@ def repeated_windows(buckets, begins, doc, first, width, length: int) -> Iterato
         yield own[later], place[later]
 
 
-def _sorted(fetched: DataFrame, length: int, parts: int) -> DataFrame:
+def _sorted(fetched: DataFrame, length: int, shards: int, parts: int) -> DataFrame:
     """Step 3: spans of repeated strings, dealt by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +315,7 @@ def _sorted(fetched: DataFrame, length: int, parts: int) -> DataFrame:
                     spans = joined(own, place, place + length)
                     yield _batch(list(dealt(SPANS, spans, SPAN, _by_doc(spans[0], parts))))
 
-    return fetched.repartition(parts, "shard").mapInArrow(run, BLOBS)
+    return fetched.repartition(shards, "shard").mapInArrow(run, BLOBS)
 
 
 def _runs(blobs: DataFrame, parts: int) -> DataFrame:
@@ -348,7 +349,11 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     paths: list[str] = []
     first = _stored(_gathered(_anchored(docs, length, parts), length, parts), "contexts", paths)
     wanted = _stored(_requests(first, parts), "requests", paths)
-    second = _stored(_sorted(_fetched(docs, wanted, length, parts), length, parts), "sorted", paths)
+    # Sorting needs most memory for each byte: as many shards as keep them small.
+    row_bytes = sum(np.dtype(kind).itemsize for _, kind in WANTED)
+    asked = wanted.agg(F.sum(F.octet_length("wanted"))).first()[0] or 0
+    shards = max(parts, -(-asked // (row_bytes * SHARD_CONTEXTS)))
+    second = _stored(_sorted(_fetched(docs, wanted, length, shards), length, shards, parts), "sorted", paths)
     runs = _stored(_runs(first.filter(F.col("kind") == SPANS).union(second).select("shard", "data"), parts), "runs", [])
     for path in paths:
         discard(spark, path)
