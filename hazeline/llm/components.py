@@ -33,23 +33,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return joined.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(links: DataFrame, steps: int | None = None) -> DataFrame:
-    """u, v: every linked node but the least of its component, and that least node. With
-    `steps`, stop early: v is then a smaller node of the same component."""
+def components(links: DataFrame) -> DataFrame:
+    """u, v: every linked node but the least of its component, and that least node."""
     edges, path = _stored(
         links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(),
         "links",
     )
-    before, taken = None, 0
+    before = None
     while True:
         row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         state = (row[0], row[1])
-        if state == before or state[0] == 0 or steps is not None and taken >= steps:
-            break
-        before, taken = state, taken + 1
+        if state == before or state[0] == 0:
+            return edges
+        before = state
         after, new_path = _stored(_small_star(_large_star(edges)), "stars")
         discard(edges.sparkSession, path)
         edges, path = after, new_path
-    if steps is not None:
-        return edges.groupBy("u").agg(F.min("v").alias("v"))
-    return edges

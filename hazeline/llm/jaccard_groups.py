@@ -46,7 +46,7 @@ from hazeline.llm.shingles import _mixed, distinct, shingled
 from hazeline.llm.shipping import ship
 from hazeline.scratch import discard, new_dir
 
-CLASS_BITS = 18
+CLASS_BITS = 22
 CROWDED = 4.0  # times the mean count of a class
 SKETCH = 128
 ORDERS = 8
@@ -68,17 +68,18 @@ def least_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 def crowded_classes(docs: DataFrame, words: int) -> np.ndarray:
     """Which of the 2**CLASS_BITS classes of shingle codes are crowded."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << CLASS_BITS, np.int64)
+        total = np.zeros(1 << CLASS_BITS, np.int32)
         for batch in batches:
             for _, data, offsets in slices(batch.column("text")):
                 codes, _ = shingled(data, offsets, words)
-                total += np.bincount((codes >> np.uint64(63 - CLASS_BITS)).astype(np.int64), minlength=1 << CLASS_BITS)
+                classes, n = np.unique(codes >> np.uint64(63 - CLASS_BITS), return_counts=True)
+                total[classes.astype(np.int64)] += n.astype(np.int32)
         # A class crowded in the whole is crowded in some task; a task passes on those that stand
         # out in its own share, and the sum of all. A class missed costs time, never a link.
         mean = total.mean()
         out = np.flatnonzero(total > max(2 * mean, mean + 4 * mean**0.5, 3))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(out, -1)), pa.array(np.append(total[out], total.sum()))], names=["class", "n"]
+            [pa.array(np.append(out, -1)), pa.array(np.append(total[out].astype(np.int64), total.sum()))], names=["class", "n"]
         )
 
     counts = docs.select("text").mapInArrow(count, "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
@@ -102,12 +103,14 @@ def _key(values: np.ndarray) -> tuple[int, int]:
 
 def described(docs: DataFrame, words: int, percent: int, crowded: np.ndarray) -> DataFrame:
     """Step 2: a row for each document."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(crowded).tobytes())  # 512 KB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
         for batch in batches:
             for start, data, offsets in slices(batch.column("text")):
                 codes, sizes = shingled(data, offsets, words)
-                last = crowded[(codes >> np.uint64(63 - CLASS_BITS)).astype(np.int64)]
+                last = table[(codes >> np.uint64(63 - CLASS_BITS)).astype(np.int64)]
                 codes, sizes = distinct(np.where(last, codes | _LAST, codes), sizes)
                 ends = np.cumsum(sizes)
                 columns: list[list] = [[] for _ in range(7)]
@@ -350,7 +353,7 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     first_pairs = _stored(neighbour_pairs(rows.union(inside), percent, parts), "pairs", paths)
     first = links_of(first_pairs)
-    near = components(first, steps=2).select(F.col("u").alias("gid"), F.col("v").alias("label"))
+    near = components(first).select(F.col("u").alias("gid"), F.col("v").alias("label"))
     single = members.select("gid", "rep")
     of_members = rows.join(single, "gid").select("token", F.col("rep").alias("gid"), "n", "place").union(inside)
     labelled = of_members.join(near, "gid", "left").select(
