@@ -164,11 +164,12 @@ def kinds(text: np.ndarray) -> np.ndarray:
 
 
 class Sorter:
-    """`limit`: rows that each set of queues holds in memory, and length from which the reduced
-    text is sorted by recursion."""
+    """`limit`: rows that each set of queues holds in memory; `base`: length up to which the
+    reduced text is sorted in memory, not by recursion."""
 
-    def __init__(self, folder: str, cap: int, limit: int):
+    def __init__(self, folder: str, cap: int, limit: int, base: int | None = None):
         self.folder, self.cap, self.limit = folder, cap, limit
+        self.base = limit if base is None else base
         self.depth = 0
 
     def _scan(self, text, small, position, shared, carry, queues, want_small: bool) -> None:
@@ -290,7 +291,7 @@ class Sorter:
 
     def _order(self, names: np.ndarray) -> np.ndarray:
         """Suffixes of the reduced text in order."""
-        if len(names) > self.limit:
+        if len(names) > self.base:
             small = kinds(names)
             seeds, shared = self._sorted_seeds(names, small)
             parts = [np.concatenate([l, s]) for l, s, _ in self._induce(names, small, seeds, shared)]

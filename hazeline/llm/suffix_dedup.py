@@ -47,6 +47,7 @@ LENGTH = 100
 HELD_CONTEXTS = 300_000  # of a task before it deals them
 SHARD_CONTEXTS = 12_000  # to sort in one task, about 1.6 MB of text, if grams allow
 QUEUE_ROWS = 1_000_000  # of a shard's sorter in memory; more go to disk
+BASE_NAMES = 4_000_000  # reduced texts up to it are sorted in memory
 MAPPED_BYTES = 64_000_000  # text of a shard from which it is mapped from disk
 
 CONTEXT = (("gram", "<u8"), ("code", "<u8"), ("doc", "<i8"), ("first", "<i8"), ("width", "<u2"))
@@ -309,7 +310,7 @@ def _sorted(fetched: DataFrame, length: int, shards: int, parts: int) -> DataFra
             begins = np.cumsum(width + length) - (width + length)
             size = os.path.getsize(path)
             text = np.memmap(path, "<u2", "r") if size > MAPPED_BYTES else np.fromfile(path, "<u2")
-            sorter = Sorter(folder, length, QUEUE_ROWS)
+            sorter = Sorter(folder, length, QUEUE_ROWS, BASE_NAMES)
             for own, place in repeated_windows(sorter.buckets(text), begins, doc, first, width, length):
                 if len(own):
                     spans = joined(own, place, place + length)
