@@ -46,6 +46,7 @@ from hazeline.scratch import discard, new_dir
 LENGTH = 100
 HELD_CONTEXTS = 300_000  # of a task before it deals them
 SHARD_CONTEXTS = 12_000  # to sort in one task, about 1.6 MB of text, if grams allow
+HELD_WINDOWS = 1_000_000  # repeated strings of a shard before they are dealt
 QUEUE_ROWS = 1_000_000  # of a shard's sorter in memory; more go to disk
 BASE_NAMES = 4_000_000  # reduced texts up to it are sorted in memory
 MAPPED_BYTES = 64_000_000  # text of a shard from which it is mapped from disk
@@ -311,10 +312,24 @@ def _sorted(fetched: DataFrame, length: int, shards: int, parts: int) -> DataFra
             size = os.path.getsize(path)
             text = np.memmap(path, "<u2", "r") if size > MAPPED_BYTES else np.fromfile(path, "<u2")
             sorter = Sorter(folder, length, QUEUE_ROWS, BASE_NAMES)
-            for own, place in repeated_windows(sorter.buckets(text), begins, doc, first, width, length):
-                if len(own):
-                    spans = joined(own, place, place + length)
-                    yield _batch(list(dealt(SPANS, spans, SPAN, _by_doc(spans[0], parts))))
+            held: list[Columns] = []
+            count = 0
+
+            def deal() -> pa.RecordBatch:
+                own, place = (np.concatenate(c) for c in zip(*held))
+                held.clear()
+                spans = joined(own, place, place + length)
+                return _batch(list(dealt(SPANS, spans, SPAN, _by_doc(spans[0], parts))))
+
+            for windows in repeated_windows(sorter.buckets(text), begins, doc, first, width, length):
+                if len(windows[0]):
+                    held.append(windows)
+                    count += len(windows[0])
+                if count >= HELD_WINDOWS:
+                    yield deal()
+                    count = 0
+            if held:
+                yield deal()
 
     return fetched.repartition(shards, "shard").mapInArrow(run, BLOBS)
 
