@@ -11,7 +11,7 @@ n - ceil(t * n) + 1 of each, their prefixes.
 3. Documents with one set become one; sets with one prefix and one size become a group.
 4. Groups meet at the shingles of their prefixes. Size and place in the prefix bound the
    overlap; pairs of groups that can't reach t are dropped. At first each group is paired with
-   its neighbours in eight fixed orders only, which is linear in the prefixes.
+   three neighbours in each of 64 orders only, which is linear in the prefixes.
 5. What the sketches allow is verified on the sets themselves.
 6. The links found give components. Then groups are expanded to their members, and all other
    pairs that meet and lie in different components are taken the same way, without limit: no
@@ -49,7 +49,8 @@ from hazeline.scratch import discard, new_dir
 CLASS_BITS = 22
 CROWDED = 4.0  # times the mean count of a class
 SKETCH = 128
-ORDERS = 8
+ORDERS = 64
+NEIGHBOURS = (1, 3, 7)  # how far on, in each order
 _LAST = np.uint64(1) << np.uint64(63)
 
 
@@ -199,15 +200,22 @@ def neighbour_pairs(rows: DataFrame, percent: int, parts: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (token, gid, n, place), _ = _runs(batches, ["token", "gid", "n", "place"])
+        # A pair of one size can only meet early in the prefix; late rows wait for step 6.
+        early = n - place >= least_overlap(n, n, percent)
+        token, gid, n, place = (c[early] for c in (token, gid, n.astype(np.int64), place.astype(np.int64)))
         turn = token.astype(np.uint64) % np.uint64(ORDERS)
         mixed = _mixed(gid.astype(np.uint64) * np.uint64(ORDERS) + turn)
         order = np.lexsort((mixed, token))
-        token, gid, n, place = token[order], gid[order], n[order].astype(np.int64), place[order].astype(np.int64)
-        i = np.flatnonzero(token[1:] == token[:-1])
-        swap = n[i] > n[i + 1]
-        small, large = np.where(swap, i + 1, i), np.where(swap, i, i + 1)
-        ok = _near(n[small], place[small], n[large], place[large], percent)
-        yield _pairs(gid[small[ok]], gid[large[ok]])
+        token, gid, n, place = (c[order] for c in (token, gid, n, place))
+        low, high = [], []
+        for step in NEIGHBOURS:
+            i = np.flatnonzero(token[step:] == token[:-step])
+            swap = n[i] > n[i + step]
+            small, large = np.where(swap, i + step, i), np.where(swap, i, i + step)
+            ok = _near(n[small], place[small], n[large], place[large], percent)
+            low.append(gid[small[ok]])
+            high.append(gid[large[ok]])
+        yield _pairs(np.concatenate(low), np.concatenate(high))
 
     return rows.repartition(parts, "token").mapInArrow(run, "a long, b long").distinct()
 
