@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WHITE = "\t\n\x0b\x0c\r"
@@ -22,3 +22,11 @@ def words_of(text: Column) -> Column:
 
 def count_chars(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one that no column has."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

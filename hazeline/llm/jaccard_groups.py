@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeline.llm.bind import free_name
 from hazeline.llm.chunked import slices
 from hazeline.llm.components import components
 from hazeline.llm.id_map import IdMap
@@ -394,8 +395,9 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     """The rows of the least document of each component, with all their columns; rows without
     a doc_id stay, and of rows that repeat a doc_id one stays."""
     found = linked(docs, words, percent)
-    stay = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    rows = free_name(docs, "rows")
+    stay = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias(rows))
     kept = docs.join(stay, "doc_id")
-    single = kept.filter("_rows = 1").select(*docs.columns)
-    repeated = kept.filter("_rows > 1").dropDuplicates(["doc_id"]).select(*docs.columns)
+    single = kept.filter(F.col(rows) == 1).select(*docs.columns)
+    repeated = kept.filter(F.col(rows) > 1).dropDuplicates(["doc_id"]).select(*docs.columns)
     return single.union(repeated).union(docs.filter("doc_id IS NULL"))

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.llm.anchors import contexts
+from hazeline.llm.bind import free_name
 from hazeline.llm.chunked import expand, slices
 from hazeline.llm.id_map import IdMap
 from hazeline.llm.induced import Sorter
@@ -100,6 +101,10 @@ def _collapsed(columns: Columns) -> tuple[Columns, np.ndarray]:
     """Contexts by gram, code, document and place; and which are the first of their kind."""
     order = np.lexsort((columns[3], columns[2], columns[1], columns[0]))
     columns = tuple(c[order] for c in columns)
+    # A row that repeats a doc_id names the same places again.
+    twice = np.zeros(len(order), bool)
+    twice[1:] = np.logical_and.reduce([c[1:] == c[:-1] for c in columns[:4]])
+    columns = tuple(c[~twice] for c in columns)
     gram, code = columns[0], columns[1]
     fresh = np.ones(len(gram), bool)
     fresh[1:] = (gram[1:] != gram[:-1]) | (code[1:] != code[:-1])
@@ -410,12 +415,13 @@ def removed(docs: DataFrame, length: int = LENGTH, characters: bool = False) ->
     data = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     maybe = IdMap(runs, "doc_id").maybe(F.col("doc_id"))
     whole = F.struct(data.alias("kept"), F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"))
-    marked = docs.withColumn("_maybe", F.col("doc_id").isNotNull() & F.coalesce(maybe, F.lit(False)))
-    untouched = marked.filter("NOT _maybe").select(*docs.columns, whole.alias("_cut"))
-    runs = runs.withColumnsRenamed({"doc_id": "_id", "starts": "_starts", "ends": "_ends"})
-    near = marked.filter("_maybe").join(runs, F.col("doc_id") == F.col("_id"), "left")
+    flag, of, begin, end = (free_name(docs, name) for name in ("_maybe", "_id", "_starts", "_ends"))
+    marked = docs.withColumn(flag, F.col("doc_id").isNotNull() & F.coalesce(maybe, F.lit(False)))
+    untouched = marked.filter(~F.col(flag)).select(*docs.columns, whole.alias("_cut"))
+    runs = runs.withColumnsRenamed({"doc_id": of, "starts": begin, "ends": end})
+    near = marked.filter(F.col(flag)).join(runs, F.col("doc_id") == F.col(of), "left")
     empty = F.array().cast("array<bigint>")
-    cut = _cutter(characters)(data, F.coalesce("_starts", empty), F.coalesce("_ends", empty))
+    cut = _cutter(characters)(data, F.coalesce(begin, empty), F.coalesce(end, empty))
     return untouched.union(near.select(*docs.columns, cut.alias("_cut")))
 
 
@@ -424,10 +430,11 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     up; rows whose text is left without a word go, rows that had none before stay."""
     out = removed(docs, length, characters=True)
     text = F.when(F.col("text").isNotNull(), F.decode(F.col("_cut.kept"), "UTF-8"))
-    out = out.withColumn("_text", text).filter(
-        (F.col("_cut.n_removed") == 0) | (F.length(F.regexp_replace("_text", r"\s+", "")) > 0)
+    left = free_name(out, "_text")
+    out = out.withColumn(left, text).filter(
+        (F.col("_cut.n_removed") == 0) | (F.length(F.regexp_replace(left, r"\s+", "")) > 0)
     )
-    columns = {"text": F.col("_text")}
+    columns = {"text": F.col(left)}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.length(left).cast(docs.schema["n_chars"].dataType)
     return out.withColumns(columns).select(*docs.columns)
