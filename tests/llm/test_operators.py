@@ -210,14 +210,13 @@ def _components(texts, words, percent):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-def test_group_jaccard(spark, docs, empty, small):
+def test_group_jaccard(spark, docs, empty):
     rng = random.Random(5)
     crowd = [(1000 + k, " ".join(w if rng.random() > 0.012 else f"x{k}" for w in WORDS)) for k in range(60)]
     many = spark.createDataFrame(crowd, "doc_id long, text string").repartition(4)
-    for frame, texts in ((docs, TEXTS), (many, crowd), (spark.read.parquet(f"{SF}/documents.parquet"), list(small.items()))):
-        for words, percent in ((4, 85), (5, 80)):
-            rows = jaccard_groups.linked(frame, words, percent).collect()
-            assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == _components(texts, words, percent)
+    for frame, texts, words, percent in ((docs, TEXTS, 4, 85), (many, crowd, 5, 80)):
+        rows = jaccard_groups.linked(frame, words, percent).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == _components(texts, words, percent)
     assert jaccard_groups.linked(empty).count() == 0
     assert jaccard_groups.one_of_each(docs).columns == docs.columns
 
