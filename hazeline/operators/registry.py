@@ -73,14 +73,24 @@ def registry_from(measurements: DataFrame, reference_ids=REFERENCE_IDS) -> DataF
     return pairs.withColumn("sensor_class", sensor_class(F.col("locationId"), reference_ids))
 
 
+def one_row_each(registry: DataFrame) -> DataFrame:
+    """One row for each sensor and parameter: the least of those listed, column by column."""
+    others = [c for c in registry.columns if c not in ("locationId", "parameter")]
+    if not others:
+        return registry.select("locationId", "parameter").distinct().select(*registry.columns)
+    least = registry.groupBy("locationId", "parameter").agg(*[F.min(c).alias(c) for c in others])
+    return least.select(*registry.columns)
+
+
 def enrich(measurements: DataFrame, registry: DataFrame) -> DataFrame:
     """Measurements with their registry row; sensors the registry lacks stay, with NULLs.
 
     No broadcast hint: Spark broadcasts the registry while its size is under the threshold
     and falls back to a shuffle join, with skewed sensors split, when it is not. Keep the
-    registry as a stored table so that its size is known when the join is planned.
+    registry as a stored table so that its size is known when the join is planned. A pair that
+    is listed more than once counts once.
     """
-    return measurements.join(registry, ["locationId", "parameter"], "left")
+    return measurements.join(one_row_each(registry), ["locationId", "parameter"], "left")
 
 
 def duplicates(registry: DataFrame) -> DataFrame:

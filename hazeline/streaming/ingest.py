@@ -38,6 +38,8 @@ def record_stream(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
+        # By default files a week older than the newest are skipped; none may be.
+        .option("maxFileAge", "36500d")
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
