@@ -79,6 +79,8 @@ def test_lexicon_bpe(spark, docs, empty, small):
     _check_bpe(lexicon.encode(docs, BPE, name).collect(), TEXTS)
     _check_bpe(lexicon.encode(docs, BPE, lexicon.build_lexicon(empty, BPE)).collect(), TEXTS)
     assert lexicon.encode(empty, BPE, name).count() == 0
+    again = lexicon.build_lexicon(docs, BPE, words=40)  # equal contents, the same application
+    _check_bpe(lexicon.encode(docs, BPE, again).collect(), TEXTS)
     frame = spark.read.parquet(f"{SF}/documents.parquet")
     _check_bpe(lexicon.encode(frame, BPE, lexicon.build_lexicon(frame, BPE)).collect(), list(small.items()))
 
