@@ -11,6 +11,7 @@ _TREE = (
     r"(?:yr=)?(\d{4})/(?:mnt=)?(\d{1,2})/(?:dy=)?(\d{1,2})"
     r"/(?:loc=)?(\d+)/(?:par=)?([^/]+?)(?:\.json|/[^/]*)$"
 )
+_DAY = r"/(?:yr=)?(\d{4})/(?:mnt=)?(\d{1,2})/(?:dy=)?(\d{1,2})/"
 TREE_KEYS = ["yr", "mnt", "dy", "loc", "par"]
 
 
@@ -22,6 +23,12 @@ def tree_keys(path: Column) -> dict[str, Column]:
     }
 
 
+def landing_day(path: Column) -> Column:
+    """Day of the folders yr/mnt/dy, plain or `name=value`; NULL where there are none."""
+    found = [F.regexp_extract(path, _DAY, position) for position in (1, 2, 3)]
+    return F.try_to_date(F.concat_ws("-", *found), "y-M-d")
+
+
 def level_key(path: Column, name: str) -> Column:
     """One `name=value` level of a partitioned path."""
     return F.nullif(F.regexp_extract(path, f"/{name}=([^/]+)/", 1), F.lit(""))

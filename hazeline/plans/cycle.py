@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hazeline.plans.fetch import daily_plan, fetch_start, with_requests
 from hazeline.plans.publish import latest_extract, publish_copies
-from hazeline.plans.warehouse import append_new, high_water_date, read_warehouse, upsert
+from hazeline.plans.warehouse import append_new, read_warehouse, resume_date, upsert
 from hazeline.schemas import QUARANTINE
-from hazeline.scratch import discard, new_dir
+from hazeline.scratch import discard, exists, new_dir
 from hazeline.sources.files import read_orc
 from hazeline.sources.landing import (
     bad_rows,
     day_folders,
-    good_rows,
-    read_records,
+    landed_records,
+    ordered_rows,
     read_staged,
     stage,
 )
@@ -44,10 +44,10 @@ def ingest(
     `keep_first` keeps the stored value of a known key; the default takes the new one.
     """
     path = new_dir(spark, "staged")
-    stage(read_records(spark, landing, array_files=array_files), path)
+    stage(landed_records(spark, landing, array_files=array_files), path)
     rows = read_staged(spark, path)
     load = append_new if keep_first else upsert
-    load(good_rows(rows), warehouse)
+    load(ordered_rows(rows), warehouse)
     return Staged(rows, path)
 
 
@@ -62,7 +62,7 @@ def owed(
 ) -> DataFrame:
     """The fetches due before `as_of`, with request text and landing path."""
     start = fetch_start(
-        high_water_date(spark, warehouse, as_of), bootstrap_start, lookback_days
+        resume_date(spark, warehouse, as_of), bootstrap_start, lookback_days
     )
     return with_requests(daily_plan(registry, start, as_of))
 
@@ -85,21 +85,27 @@ def run_daily(
     bootstrap_start: date,
     lookback_days: int = 0,
     days_per_load: int = 31,
+    array_files: bool = True,
 ) -> int:
     """Load the day folders from the high-water mark up to `as_of`, then publish.
 
     A long range is loaded a month at a time: a load shuffles that month only, and a run
     that is cut off goes on from the newest loaded day. Bad rows go to a quarantine folder
     per load, which a repeated load replaces; a file set aside by two loads is listed by
-    both. Returns the number of loads; the extract is published even when no day is owed.
+    both. `array_files` is False for files of JSON lines, as `write_landing` makes them; a
+    landing root that is missing raises. Returns the number of loads; the extract is published even when no day is owed.
     """
+    if not exists(spark, landing):
+        raise FileNotFoundError(landing)
     first = fetch_start(
-        high_water_date(spark, warehouse, as_of), bootstrap_start, lookback_days
+        resume_date(spark, warehouse, as_of), bootstrap_start, lookback_days
     )
     loads = 0
     while first < as_of:
         last = min(first + timedelta(days=days_per_load), as_of)
-        staged = ingest(spark, day_folders(landing, first, last), warehouse)
+        staged = ingest(
+            spark, day_folders(landing, first, last), warehouse, array_files=array_files
+        )
         bad = bad_rows(staged.rows)
         bad.write.mode("overwrite").orc(f"{quarantine}/loaded_from={first}")
         discard(spark, staged.path)

@@ -12,7 +12,7 @@ from hazeline.functions.paths import level_key
 from hazeline.functions.timestamps import parse_instant, utc_day
 from hazeline.operators.aggregates import latest_per_key, scalar
 from hazeline.operators.filters import in_range
-from hazeline.schemas import DAY, KEY, MEASUREMENT, WAREHOUSE
+from hazeline.schemas import ARRIVED, DAY, KEY, MEASUREMENT, WAREHOUSE
 from hazeline.scratch import discard, new_dir
 from hazeline.sources.files import read_orc
 from hazeline.sources.landing import file_inventory
@@ -109,19 +109,32 @@ def merged(stored: DataFrame, batch: DataFrame) -> DataFrame:
     return matched(stored, batch).withColumn("value", value).select(*WAREHOUSE.names)
 
 
+def one_per_key(batch: DataFrame, *, last: bool) -> DataFrame:
+    """The batch with one row per key: the last, or the first, in landing order.
+
+    Rows that landed together give the greatest value; so does a batch without `arrived`,
+    whose copies are settled later. Copies of a key are combined before the shuffle.
+    """
+    if ARRIVED not in batch.columns:
+        return batch
+    order = F.col(ARRIVED) if last else -F.col(ARRIVED)
+    best = F.max(F.struct(order.alias("place"), F.col("value")))["value"]
+    return batch.groupBy(*KEY, DAY).agg(best.alias("value")).select(*WAREHOUSE.names)
+
+
 def append_new(batch: DataFrame, path: str) -> None:
     """Idempotent append: the first value of a key wins, loading a batch again adds nothing.
 
-    `batch` is evaluated more than once, so pass a staged table.
+    First and last are by landing order where the batch has the `arrived` column. `batch` is evaluated more than once, so pass a staged table.
     """
     days = touched_days(batch)
     if days is not None:
         stored = read_warehouse(batch.sparkSession, path).filter(days)
-        write_days(new_rows(stored, batch), path)
+        write_days(new_rows(stored, one_per_key(batch, last=False)), path)
 
 
 def upsert(batch: DataFrame, path: str) -> None:
-    """Load a batch so that the last value of a key wins.
+    """Load a batch so that the last value of a key wins, by landing order where it has one.
 
     Only the days the batch touches are read and rewritten. Their new content is staged
     first: a rewrite that dies half-way is repeated from the staged rows, not from days that
@@ -134,6 +147,7 @@ def upsert(batch: DataFrame, path: str) -> None:
     if days is None:
         return
     stored = read_warehouse(spark, path).filter(days)
+    batch = one_per_key(batch, last=True)
     if stored.select(DAY).isEmpty():
         write_days(latest_per_key(batch.select(*WAREHOUSE.names), [*KEY, DAY], ["value"]), path)
     else:
@@ -171,6 +185,19 @@ def high_water_date(spark: SparkSession, path: str, as_of: date) -> date | None:
     return scalar(stored.agg(F.max(DAY)))
 
 
+def resume_date(spark: SparkSession, path: str, as_of: date) -> date | None:
+    """The day a run goes on from: the newest stored one that is not after `as_of`.
+
+    A row dated in the future is kept, and does not hold up what is still to be loaded.
+    """
+    past = read_warehouse(spark, path).filter(F.col(DAY) <= F.lit(as_of))
+    for days in (31, 366):
+        newest = scalar(past.filter(F.col(DAY) >= F.lit(as_of - timedelta(days=days))).agg(F.max(DAY)))
+        if newest is not None:
+            return newest
+    return scalar(past.agg(F.max(DAY)))
+
+
 def newest_instant(spark: SparkSession, path: str, as_of: date) -> DataFrame:
     """max(utc), read from the newest day alone."""
     stored = read_warehouse(spark, path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+# Landing order of a row: a later file has a greater number.
+ARRIVED = "arrived"
 
 # One measurement as it lands in JSON.
 RECORD = T.StructType(
@@ -41,6 +43,19 @@ RECORD = T.StructType(
     ]
 )
 
+# The fields a load keeps, as text: a field of the wrong type then spoils its own row, not
+# the whole file. `date` is the text of its object.
+LANDED = T.StructType(
+    [
+        T.StructField("locationId", T.StringType()),
+        T.StructField("parameter", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("date", T.StringType()),
+        T.StructField("unit", T.StringType()),
+        T.StructField(CORRUPT, T.StringType()),
+    ]
+)
+
 RECORD_OR_CORRUPT = T.StructType([*RECORD.fields, T.StructField(CORRUPT, T.StringType())])
 
 # The warehouse: the four kept columns, and the row's own UTC day as partition.
@@ -61,6 +76,7 @@ STAGED = T.StructType(
     [
         *WAREHOUSE.fields,
         T.StructField("unit", T.StringType()),
+        T.StructField(ARRIVED, T.LongType()),
         T.StructField("raw", T.StringType()),
         T.StructField("reason", T.StringType()),
         T.StructField("source_file", T.StringType()),

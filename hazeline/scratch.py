@@ -32,6 +32,11 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/hazeline/{label}-{uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table once what it was staged for is committed."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

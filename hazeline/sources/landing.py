@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeline.functions.paths import day_parts, tree_keys
+from hazeline.functions.paths import day_parts, landing_day, tree_keys
 from hazeline.functions.timestamps import parse_instant, utc_day
-from hazeline.schemas import CORRUPT, DAY, RECORD, RECORD_OR_CORRUPT, STAGED
+from hazeline.schemas import ARRIVED, CORRUPT, DAY, LANDED, RECORD, RECORD_OR_CORRUPT, STAGED, WAREHOUSE
 from hazeline.session import settings
 
 # 2 ** 12 records per array keeps one array a few MB, whatever the data looks like.
@@ -44,9 +44,12 @@ def day_folders(root: str, start: date, end: date) -> str:
     """The sensor folders of the days in [start, end) as one path.
 
     A glob, because some days may have no folder; it keeps the listing to the days asked for.
+    Days are plain folders, or `name=value` ones as `write_landing` makes them.
     """
     days = [start + timedelta(days=number) for number in range((end - start).days)]
-    return root + "/{" + ",".join(day.strftime("%Y/%m/%d") for day in days) + "}/*"
+    shapes = ("%Y/%m/%d", "yr=%Y/mnt=%m/dy=%d")
+    folders = [day.strftime(shape) for shape in shapes for day in days]
+    return root + "/{" + ",".join(folders) + "}/*"
 
 
 def read_records(
@@ -57,13 +60,15 @@ def read_records(
     mode: str = "PERMISSIVE",
     schema: T.StructType | None = None,
     glob: str = "*.json",
+    arrival: bool = False,
 ) -> DataFrame:
     """Every measurement below `path`, in one read.
 
     `array_files`: each file is one JSON array over many lines, the way fetched results are
     saved. Such a file is one task's work. Without it each line is a record or an array of
     records, and files split. Malformed text goes to the `_corrupt_record` column in
-    PERMISSIVE mode and is left out in DROPMALFORMED mode. `source_file` names a row's file.
+    PERMISSIVE mode and is left out in DROPMALFORMED mode. `source_file` names a row's file;
+    with `arrival`, `arrived` is its landing order.
     """
     if schema is None:
         schema = RECORD_OR_CORRUPT if mode.upper() == "PERMISSIVE" else RECORD
@@ -76,13 +81,33 @@ def read_records(
     )
     if CORRUPT in schema.names:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    with_source = T.StructType([*schema.fields, T.StructField("source_file", T.StringType())])
-    return read_or_empty(lambda: name_source(reader.json(path)), spark, with_source)
+    added = [T.StructField("source_file", T.StringType())]
+    if arrival:
+        added.append(T.StructField(ARRIVED, T.LongType()))
+    with_source = T.StructType([*schema.fields, *added])
+    return read_or_empty(
+        lambda: name_source(reader.json(path), arrival=arrival), spark, with_source
+    )
+
 
+def landed_records(spark: SparkSession, path: str, *, array_files: bool = True) -> DataFrame:
+    """Records as a load reads them: fields as text, source file, landing order."""
+    return read_records(spark, path, array_files=array_files, schema=LANDED, arrival=True)
 
-def name_source(records: DataFrame) -> DataFrame:
-    """Adds the file a record came from."""
-    return records.select("*", F.col("_metadata.file_path").alias("source_file"))
+
+def name_source(records: DataFrame, *, arrival: bool = False) -> DataFrame:
+    """Adds the file a record came from, and on demand its landing order.
+
+    The order is the landing day, then the file's time in milliseconds (42 bits), as one
+    number; files outside day folders count as of the first day.
+    """
+    path = F.col("_metadata.file_path")
+    added = [path.alias("source_file")]
+    if arrival:
+        day = F.coalesce(F.unix_date(landing_day(path)), F.lit(0)).cast("long")
+        moment = F.unix_millis(F.col("_metadata.file_modification_time"))
+        added.append((F.shiftleft(day, 42) + moment).alias(ARRIVED))
+    return records.select("*", *added)
 
 
 def bounded_arrays(records: DataFrame, bits: int = ARRAY_BITS) -> DataFrame:
@@ -142,25 +167,47 @@ def write_landing(
 
 
 def parsed(records: DataFrame) -> DataFrame:
-    """Records in the staged shape: canonical columns, and the reason a row is no good."""
+    """Records in the staged shape: canonical columns, and the reason a row is no good.
+
+    Takes typed records and those of `landed_records`, whose fields are text: there a field
+    that is no number is a bad row with the field's name as reason.
+    """
+    as_text = isinstance(records.schema["date"].dataType, T.StringType)
+    utc_text = F.get_json_object("date", "$.utc") if as_text else F.col("date.utc")
+    arrived = F.col(ARRIVED) if ARRIVED in records.columns else F.lit(None).cast("long")
     canonical = records.select(
-        "locationId",
-        parse_instant(F.col("date.utc")).alias("utc"),
+        F.col("locationId").try_cast("long").alias("locationId"),
+        parse_instant(utc_text).alias("utc"),
         "parameter",
-        "value",
+        F.col("value").try_cast("double").alias("value"),
         "unit",
         CORRUPT,
         "source_file",
-        F.col("date.utc").alias("utc_text"),
+        arrived.alias(ARRIVED),
+        utc_text.alias("utc_text"),
+        F.col("locationId").cast("string").alias("location_text"),
+        F.col("value").cast("string").alias("value_text"),
     )
     reason = (
         F.when(F.col(CORRUPT).isNotNull(), "malformed")
         .when(F.col("utc").isNull(), "utc")
         .when(F.col("locationId").isNull() | F.col("parameter").isNull(), "key")
+        .when(F.col("value").isNull() & F.col("value_text").isNotNull(), "value")
+    )
+    value_json = F.when(F.col("value").isNull(), F.col("value_text"))
+    typed = F.struct("locationId", "utc_text", "parameter", "value")
+    spoilt = F.struct(
+        F.col("location_text").alias("locationId"),
+        "utc_text",
+        "parameter",
+        F.col("value_text").alias("value"),
+    )
+    is_spoilt = value_json.isNotNull() | (
+        F.col("locationId").isNull() & F.col("location_text").isNotNull()
     )
     raw = F.coalesce(
         CORRUPT,
-        F.when(reason.isNotNull(), F.to_json(F.struct("locationId", "utc_text", "parameter", "value"))),
+        F.when(reason.isNotNull(), F.when(is_spoilt, F.to_json(spoilt)).otherwise(F.to_json(typed))),
     )
     return canonical.select(
         "locationId",
@@ -169,6 +216,7 @@ def parsed(records: DataFrame) -> DataFrame:
         "value",
         utc_day(canonical, "utc").alias(DAY),
         "unit",
+        ARRIVED,
         raw.alias("raw"),
         reason.alias("reason"),
         "source_file",
@@ -198,6 +246,11 @@ def good_rows(staged: DataFrame) -> DataFrame:
     )
 
 
+def ordered_rows(staged: DataFrame) -> DataFrame:
+    """The good rows with their landing order, as loads take them."""
+    return staged.filter(F.col("outcome") == "good").select(*WAREHOUSE.names, ARRIVED)
+
+
 def bad_rows(staged: DataFrame) -> DataFrame:
     return staged.filter(F.col("outcome") == "bad").select("reason", "raw", "source_file")
 

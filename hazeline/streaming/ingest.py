@@ -11,7 +11,7 @@ from hazeline.operators.aggregates import reading_summary, tumbling
 from hazeline.plans.warehouse import append_new
 from hazeline.schemas import CORRUPT, KEY, RECORD_OR_CORRUPT
 from hazeline.session import settings
-from hazeline.sources.landing import good_rows, name_source, read_staged, stage
+from hazeline.sources.landing import name_source, ordered_rows, read_staged, stage
 
 # How many tasks share the copies of one key before they are compared with each other.
 SPREAD = 64
@@ -43,7 +43,7 @@ def record_stream(
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return name_source(reader.json(landing))
+    return name_source(reader.json(landing), arrival=True)
 
 
 def measurement_stream(records: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def ingest_stream(
     def load(batch: DataFrame, batch_id: int) -> None:
         path = f"{staging}/batch={batch_id}"
         stage(batch, path)
-        append_new(good_rows(read_staged(batch.sparkSession, path)), warehouse)
+        append_new(ordered_rows(read_staged(batch.sparkSession, path)), warehouse)
 
     return (
         records.writeStream.foreachBatch(load)

@@ -13,6 +13,7 @@ from hazeline.plans.cycle import build_latest, ingest, owed, read_quarantine, ru
 from hazeline.operators.registry import default_registry
 from hazeline.schemas import MEASUREMENT, READING, ddl_columns
 from hazeline.sources import files, tables
+from hazeline.sources.landing import read_records, write_landing
 from shapes import plain, record, rows, write_file
 
 MICROS = "2024-02-03T06:30:00.123456"
@@ -267,3 +268,56 @@ def test_ingest_may_keep_first_values(spark, tmp_path):
     assert plain(wh.read_warehouse(spark, warehouse)) == [(8039, "2024-02-03T06:30:00", "pm25", 1.0)]
     build_latest(spark, warehouse, [str(tmp_path / "latest")], as_of=date(2026, 1, 1))
     assert files.read_csv(spark, str(tmp_path / "latest"), MEASUREMENT, header=True).count() == 0
+
+
+def _lifecycle(spark, root, landing, **options):
+    names = ("warehouse", "quarantine", "latest")
+    warehouse, quarantine, latest = (str(root / name) for name in names)
+    run_daily(
+        spark, landing, warehouse, quarantine, [latest],
+        as_of=date(2024, 2, 6), bootstrap_start=date(2024, 2, 1), **options,
+    )
+    return plain(wh.read_warehouse(spark, warehouse)), read_quarantine(spark, quarantine).collect()
+
+
+def test_one_wrong_field_spoils_one_row(spark, tmp_path):
+    good = record(utc="2024-02-03T07:30:00+00:00")
+    odd = record(utc="2024-02-03T08:30:00+00:00", isMobile="perhaps", coordinates=7)
+    wrong = [record(value="abc"), record(location="x1"), record() | {"date": 5}]
+    write_file(tmp_path / "data/2024/02/03/8039/pm25.json", [good, *wrong, odd])
+    write_file(tmp_path / "data/2024/02/03/8118/pm25.json", '[{"locationId": 1},\n {"val')
+    stored, bad = _lifecycle(spark, tmp_path, str(tmp_path / "data"))
+    assert [row[1] for row in stored] == ["2024-02-03T07:30:00", "2024-02-03T08:30:00"]
+    assert sorted(row.reason for row in bad) == ["key", "malformed", "utc", "value"]
+    (value,) = [row.raw for row in bad if row.reason == "value"]
+    assert '"value":"abc"' in value and len(value) < 200
+
+
+@pytest.mark.parametrize("days", [1, 7])
+def test_the_later_landing_wins_whatever_the_load_size(spark, tmp_path, days):
+    for day, value in (("03", 9.0), ("04", 1.0), ("05", 4.0)):
+        write_file(tmp_path / f"data/2024/02/{day}/8039/pm25.json", [record(value=value)])
+    stored, _ = _lifecycle(spark, tmp_path, str(tmp_path / "data"), days_per_load=days)
+    assert stored == [(8039, "2024-02-03T06:30:00", "pm25", 4.0)]
+    first = str(tmp_path / "first")
+    ingest(spark, str(tmp_path / "data"), first, keep_first=True)
+    assert plain(wh.read_warehouse(spark, first)) == [(8039, "2024-02-03T06:30:00", "pm25", 9.0)]
+
+
+def test_a_run_over_its_own_landing_tree_and_lines(spark, tmp_path):
+    write_file(tmp_path / "in.json", [record(number, utc=f"2024-02-0{number}T06:30:00+00:00") for number in (1, 2, 3)])
+    rows = read_records(spark, str(tmp_path / "in.json")).drop("_corrupt_record", "source_file")
+    landed = str(tmp_path / "tree")
+    write_landing(rows.withColumn("day", F.to_date(F.substring("date.utc", 1, 10))), landed, "day")
+    stored, bad = _lifecycle(spark, tmp_path, landed, array_files=False)
+    assert [row[0] for row in stored] == [1, 2, 3] and bad == []
+
+
+def test_missing_root_raises_and_a_future_row_holds_nothing_up(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        _lifecycle(spark, tmp_path, str(tmp_path / "nowhere"))
+    write_file(tmp_path / "data/2024/02/03/1/pm25.json", [record(1), record(1, utc="2030-01-01T00:00:00+00:00")])
+    _lifecycle(spark, tmp_path, str(tmp_path / "data"))
+    write_file(tmp_path / "data/2024/02/04/2/pm25.json", [record(2)])
+    stored, _ = _lifecycle(spark, tmp_path, str(tmp_path / "data"))
+    assert [row[0] for row in stored] == [1, 1, 2]
