@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from hazeline.functions.paths import landing_path, request_text
 from hazeline.functions.timestamps import from_india
 from hazeline.operators.filters import REFERENCE
-from hazeline.operators.registry import one_row_each
 
 # Community sensors are asked for 21:00 to midnight, or in 3-hour slices.
 EVENING_HOUR = 21
@@ -52,7 +51,6 @@ def _checked(hours: int) -> int:
 def _spread(registry: DataFrame, tasks: int | None) -> DataFrame:
     # A registry is small enough to end up in a few tasks, and its expansion is not. A plain
     # count, because partitions by key may be merged again when they are small.
-    registry = one_row_each(registry)
     return registry if tasks is None else registry.repartition(tasks)
 
 
