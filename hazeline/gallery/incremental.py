@@ -103,13 +103,13 @@ FROM ({_KEPT_LAST}) GROUP BY ALL"""
 def publish_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, batch = _parts(spark, sf_dir)
     path, published = _loaded(spark, stored), new_dir(spark, "published")
-    publish_days(wh.read_warehouse(spark, path), published)
     fresh = staged(corrected(batch))
+    as_of = aggregates.as_of_date(fresh, DAY)
+    publish_days(wh.read_warehouse(spark, path), published, as_of)
     wh.upsert(fresh, path)
-    publish_days(wh.read_warehouse(spark, path).filter(wh.touched_days(fresh)), published)
-    as_of = wh.high_water_date(spark, path, aggregates.as_of_date(fresh, DAY))
+    publish_days(wh.touched(wh.read_warehouse(spark, path), fresh), published, as_of)
     return (
-        read_published_days(spark, published, as_of)
+        read_published_days(spark, published)
         .groupBy(DAY)
         .agg(F.count(F.lit(1)).alias("readings"), F.round(F.sum("value"), 2).alias("total"))
     )

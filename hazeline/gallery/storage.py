@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,9 +158,10 @@ SELECT location AS city, date_trunc('second', ts) AS local_date, parameter, unit
 FROM r"""
 )
 def insert_select_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables.orc_table(spark, "hazeline_data", READING_TABLE, new_dir(spark, "data"))
-    tables.insert_readings(spark, "hazeline_data", _staging_view(spark, sf_dir))
-    return spark.table("hazeline_data")
+    name = f"hazeline_data_{uuid4().hex}"
+    tables.orc_table(spark, name, READING_TABLE, new_dir(spark, "data"))
+    tables.insert_readings(spark, name, _staging_view(spark, sf_dir))
+    return spark.table(name)
 
 
 _DATASET = "SELECT city, parameter, count(*) AS readings, max(local_date) AS newest"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hazeline.functions.timestamps import year_bounds
 from hazeline.operators.filters import in_range, recent_years
 from hazeline.schemas import DAY, WAREHOUSE
+from hazeline.scratch import discard, subfolders
 from hazeline.sources.files import CSV_OPTIONS, read_csv, write_csv
 from hazeline.sources.landing import read_or_empty
 
@@ -37,10 +38,12 @@ def publish_copies(
         write_csv(source, target, header=header)
 
 
-def publish_days(rows: DataFrame, path: str) -> None:
-    """Publish whole days: each day in `rows` replaces that day in the extract."""
+def publish_days(rows: DataFrame, path: str, as_of: date, years: int = 2) -> None:
+    """Publish whole days of the rolling range: each day in `rows` replaces that day in the
+    extract, and day folders that have left the range are removed."""
     (
-        rows.hint("rebalance", F.col(DAY))
+        in_range(rows, "utc", *year_bounds(as_of, years))
+        .hint("rebalance", F.col(DAY))
         .sortWithinPartitions(DAY)
         .write.mode("overwrite")
         .options(**CSV_OPTIONS)
@@ -49,11 +52,13 @@ def publish_days(rows: DataFrame, path: str) -> None:
         .partitionBy(DAY)
         .csv(path)
     )
+    first, end = (bound.date() for bound in year_bounds(as_of, years))
+    for folder in subfolders(rows.sparkSession, path):
+        day = folder.removeprefix(f"{DAY}=")
+        if folder != day and not str(first) <= day < str(end):
+            discard(rows.sparkSession, f"{path}/{folder}")
 
 
-def read_published_days(spark: SparkSession, path: str, as_of: date, years: int = 2) -> DataFrame:
-    """The extract by day folders; folders that have left the range are not read."""
-    published = read_or_empty(
-        lambda: read_csv(spark, path, WAREHOUSE, header=True), spark, WAREHOUSE
-    )
-    return in_range(published, "utc", *year_bounds(as_of, years))
+def read_published_days(spark: SparkSession, path: str) -> DataFrame:
+    """The extract by day folders."""
+    return read_or_empty(lambda: read_csv(spark, path, WAREHOUSE, header=True), spark, WAREHOUSE)

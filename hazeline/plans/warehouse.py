@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,12 +13,13 @@ from hazeline.functions.timestamps import parse_instant, utc_day
 from hazeline.operators.aggregates import latest_per_key, scalar
 from hazeline.operators.filters import in_range
 from hazeline.schemas import ARRIVED, DAY, KEY, MEASUREMENT, WAREHOUSE
-from hazeline.scratch import discard, new_dir
+from hazeline.scratch import discard, exists
 from hazeline.sources.files import read_orc
 from hazeline.sources.landing import file_inventory
 
-# Up to this many touched days are named one by one; more are given as a range.
-LISTED_DAYS = 4096
+# New content of days, waiting below the warehouse to take their place. Spark passes over
+# folders that begin with an underscore, so readers never see it.
+SWAP = "_swap/staged"
 COLUMNS = MEASUREMENT.names
 
 
@@ -34,8 +35,8 @@ def with_day(measurements: DataFrame) -> DataFrame:
     return measurements.select(*COLUMNS, utc_day(measurements, "utc").alias(DAY))
 
 
-def write_days(rows: DataFrame, path: str, *, replace_days: bool = False) -> None:
-    """Write rows into their day folders, adding to the days or replacing them.
+def write_days(rows: DataFrame, path: str, *, replace_all: bool = False) -> None:
+    """Write rows into their day folders, adding to what is there or replacing all of it.
 
     The rebalance gathers a day's rows into few files and splits a day that is too large for
     one task. Sorting by sensor inside a file lets ORC skip by location and compress better.
@@ -44,27 +45,24 @@ def write_days(rows: DataFrame, path: str, *, replace_days: bool = False) -> Non
         rows.select(*WAREHOUSE.names)
         .hint("rebalance", F.col(DAY))
         .sortWithinPartitions(DAY, *KEY)
-        .write.mode("overwrite" if replace_days else "append")
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite" if replace_all else "append")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(DAY)
         .orc(path)
     )
 
 
-def touched_days(batch: DataFrame, limit: int = LISTED_DAYS) -> Column | None:
-    """A filter for the days a batch has rows in, to prune the warehouse with.
+def touched(stored: DataFrame, batch: DataFrame) -> DataFrame | None:
+    """The stored rows of the days that a batch has rows in; None for an empty batch.
 
-    Days are few by nature, but a wild batch is not trusted to keep to that: beyond `limit`
-    the filter is the range from first to last day, which prunes less and misses nothing.
-    None for an empty batch.
+    The range from first to last day prunes folders when the plan is made; the semi-join then
+    leaves exactly the batch's days, however many they are.
     """
-    days = [row[0] for row in batch.select(DAY).distinct().limit(limit + 1).collect()]
-    if not days:
-        return None
-    if len(days) <= limit:
-        return F.col(DAY).isin(days)
     first, last = batch.agg(F.min(DAY), F.max(DAY)).first()
-    return F.col(DAY).between(first, last)
+    if first is None:
+        return None
+    days = batch.select(DAY).distinct()
+    return stored.filter(F.col(DAY).between(first, last)).join(days, DAY, "left_semi")
 
 
 def matched(stored: DataFrame, batch: DataFrame) -> DataFrame:
@@ -125,48 +123,62 @@ def one_per_key(batch: DataFrame, *, last: bool) -> DataFrame:
 def append_new(batch: DataFrame, path: str) -> None:
     """Idempotent append: the first value of a key wins, loading a batch again adds nothing.
 
-    First and last are by landing order where the batch has the `arrived` column. `batch` is evaluated more than once, so pass a staged table.
+    First and last are by landing order where the batch has the `arrived` column. `batch` is
+    evaluated more than once, so pass a staged table.
     """
-    days = touched_days(batch)
-    if days is not None:
-        stored = read_warehouse(batch.sparkSession, path).filter(days)
+    spark = batch.sparkSession
+    finish_swap(spark, path)
+    stored = touched(read_warehouse(spark, path), batch)
+    if stored is not None:
         write_days(new_rows(stored, one_per_key(batch, last=False)), path)
 
 
 def upsert(batch: DataFrame, path: str) -> None:
     """Load a batch so that the last value of a key wins, by landing order where it has one.
 
-    Only the days the batch touches are read and rewritten. Their new content is staged
-    first: a rewrite that dies half-way is repeated from the staged rows, not from days that
-    are partly gone. Where none of the days is stored yet, as in a backfill, there is nothing
-    to lose and the rows are written once. `batch` is evaluated more than once, so pass a
-    staged table.
+    Days that are not stored yet are written once. Stored days that the batch touches get
+    their new content staged first and then swapped in (see `finish_swap`). Other days are
+    neither read nor written. `batch` is evaluated more than once, so pass a staged table.
     """
     spark = batch.sparkSession
-    days = touched_days(batch)
-    if days is None:
+    finish_swap(spark, path)
+    stored = touched(read_warehouse(spark, path), batch)
+    if stored is None:
         return
-    stored = read_warehouse(spark, path).filter(days)
-    batch = one_per_key(batch, last=True)
-    if stored.select(DAY).isEmpty():
-        write_days(latest_per_key(batch.select(*WAREHOUSE.names), [*KEY, DAY], ["value"]), path)
-    else:
-        _replace_days(spark, merged(stored, batch), path)
-
-
-def _replace_days(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    staged = new_dir(spark, "days")
-    write_days(rows, staged)
-    # The staged files are already laid out by day; they are copied as they are.
-    (
-        spark.read.schema(WAREHOUSE)
-        .orc(staged)
-        .sortWithinPartitions(DAY, *KEY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .orc(path)
-    )
+    batch = one_per_key(batch, last=True).select(*WAREHOUSE.names)
+    known = stored.select(DAY).distinct()
+    replaces = not known.isEmpty()
+    if replaces:
+        old = batch.join(known, DAY, "left_semi").select(*WAREHOUSE.names)
+        write_days(merged(stored, old), f"{path}/{SWAP}", replace_all=True)
+        batch = batch.join(known, DAY, "left_anti").select(*WAREHOUSE.names)
+    write_days(latest_per_key(batch, [*KEY, DAY], ["value"]), path)
+    if replaces:
+        finish_swap(spark, path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Put completely staged days in the place of the stored ones; nothing to do without any.
+
+    Every load and compaction begins with it. Replacing a day deletes its files before the new
+    ones are renamed to their place, so a run that dies there leaves days partly gone; what was
+    staged lies below the warehouse until the swap is done, and the next load repeats it.
+    One writer at a time.
+    """
+    staged = f"{path}/{SWAP}"
+    if exists(spark, f"{staged}/_SUCCESS"):
+        # The staged files are already laid out by day; they are copied as they are.
+        (
+            spark.read.schema(WAREHOUSE)
+            .orc(staged)
+            .sortWithinPartitions(DAY, *KEY)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(DAY)
+            .orc(path)
+        )
+        # First the sign that it is complete, then the rest.
+        discard(spark, f"{staged}/_SUCCESS")
     discard(spark, staged)
 
 
@@ -226,10 +238,15 @@ def fragmented_days(
 
 
 def compact(spark: SparkSession, path: str, days: list[date]) -> None:
-    """Rewrite days into few files, rows unchanged."""
-    if days:
-        stored = read_warehouse(spark, path).filter(F.col(DAY).isin(days))
-        _replace_days(spark, stored, path)
+    """Rewrite days into few files, rows unchanged; a month at a time."""
+    finish_swap(spark, path)
+    months: dict[tuple[int, int], list[date]] = {}
+    for day in days:
+        months.setdefault((day.year, day.month), []).append(day)
+    for listed in months.values():
+        stored = read_warehouse(spark, path).filter(F.col(DAY).isin(listed))
+        write_days(stored, f"{path}/{SWAP}", replace_all=True)
+        finish_swap(spark, path)
 
 
 def migrate_text_orc(spark: SparkSession, old_path: str, path: str) -> None:

@@ -37,6 +37,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path; none where the path is not there."""
+    if not exists(spark, path):
+        return []
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    below = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
+    return [status.getPath().getName() for status in below if status.isDirectory()]
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table once what it was staged for is committed."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -74,10 +76,12 @@ def delimited_view(
 def orc_table(
     spark: SparkSession, name: str, schema: T.StructType, location: str | None = None
 ) -> DataFrame:
-    """ORC table; without a location it is managed and lives in the warehouse folder."""
+    """ORC table, made if it is not there yet; a filled one stays as it is.
+
+    Without a location it is managed and lives in the warehouse folder.
+    """
     place = f" LOCATION {_quoted(location)}" if location else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({ddl_columns(schema)}) USING orc{place}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl_columns(schema)}) USING orc{place}")
     return spark.table(name)
 
 
@@ -90,10 +94,16 @@ def insert_readings(spark: SparkSession, target: str, staging: str) -> None:
     )
 
 
-def max_year_view(spark: SparkSession, name: str, staging: str) -> DataFrame:
-    """View holding the newest year of a table whose `local_date` is ISO text."""
+def max_year_view(
+    spark: SparkSession, name: str, staging: str, *, persistent: bool = False
+) -> DataFrame:
+    """View holding the newest year of a table whose `local_date` is ISO text.
+
+    A persistent view outlives the session and needs a stored table to look at.
+    """
+    kind = "" if persistent else "TEMPORARY "
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY VIEW {name} AS "
+        f"CREATE OR REPLACE {kind}VIEW {name} AS "
         f"SELECT max(year(from_unixtime(unix_timestamp({_instant('local_date')})))) AS max_year "
         f"FROM {staging}"
     )
@@ -101,21 +111,22 @@ def max_year_view(spark: SparkSession, name: str, staging: str) -> DataFrame:
 
 
 def save_table(df: DataFrame, name: str, location: str | None = None) -> DataFrame:
-    """Save a frame as a table, replacing it; also the refresh of a materialized extract."""
+    """Save a frame as a table, replacing it; also the refresh of a materialized extract.
+
+    The rows are written to a new folder below `location` (by default, of the warehouse
+    folder) before the name is turned to them: a write that fails leaves the old table.
+    """
     spark = df.sparkSession
+    base = location or f"{spark.conf.get('spark.sql.warehouse.dir')}/{name}_versions"
+    version = f"{base}/{uuid4().hex}"
+    df.write.orc(version)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = df.write.mode("overwrite").format("orc")
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(name)
+    spark.sql(f"CREATE TABLE {name} ({ddl_columns(df.schema)}) USING orc LOCATION {_quoted(version)}")
     return spark.table(name)
 
 
 def create_table_as(
     spark: SparkSession, name: str, query: str, location: str | None = None
 ) -> DataFrame:
-    """CREATE TABLE … AS SELECT: a stored query result, refreshed by running it again."""
-    place = f" LOCATION {_quoted(location)}" if location else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING orc{place} AS {query}")
-    return spark.table(name)
+    """A stored query result, refreshed by running it again; as `save_table` replaces it."""
+    return save_table(spark.sql(query), name, location)

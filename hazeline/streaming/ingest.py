@@ -10,9 +10,13 @@ from hazeline.functions.timestamps import parse_instant
 from hazeline.operators.aggregates import reading_summary, tumbling
 from hazeline.plans.warehouse import append_new
 from hazeline.schemas import CORRUPT, KEY, RECORD_OR_CORRUPT
+from hazeline.scratch import discard
 from hazeline.session import settings
 from hazeline.sources.landing import name_source, ordered_rows, read_staged, stage
 
+# Bytes of landing files in a micro-batch; all files are loaded, in as many batches as it takes.
+BATCH_BYTES = 64 << 30
+
 # How many tasks share the copies of one key before they are compared with each other.
 SPREAD = 64
 
@@ -43,6 +47,8 @@ def record_stream(
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", BATCH_BYTES)
     return name_source(reader.json(landing), arrival=True)
 
 
@@ -61,14 +67,15 @@ def ingest_stream(
 
     The warehouse itself is the memory of what was loaded: each micro-batch is staged and
     appended by key, so nothing is too late and no state grows. A micro-batch that is
-    repeated after a failure stages to the same path and finds its own rows stored. Bad
-    rows stay in the staging folders, one per micro-batch.
+    repeated after a failure stages to the same path and finds its own rows stored. Good rows
+    leave the staging folders once they are stored; bad ones stay, a folder per micro-batch.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         path = f"{staging}/batch={batch_id}"
         stage(batch, path)
         append_new(ordered_rows(read_staged(batch.sparkSession, path)), warehouse)
+        discard(batch.sparkSession, f"{path}/outcome=good")
 
     return (
         records.writeStream.foreachBatch(load)

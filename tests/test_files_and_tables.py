@@ -161,6 +161,10 @@ def test_saved_and_selected_tables(spark, tmp_path):
         spark, "test_selected", "SELECT * FROM test_saved WHERE value > 0", str(tmp_path / "selected")
     )
     assert plain(selected) == plain(df)
+    fails = df.withColumn("value", F.raise_error(F.lit("no")).cast("double"))
+    with pytest.raises(Exception, match="no"):
+        tables.save_table(fails, "test_saved", str(tmp_path / "saved"))
+    assert plain(spark.table("test_saved")) == plain(df)
     spark.sql("DROP TABLE test_saved")
     spark.sql("DROP TABLE test_selected")
 
@@ -183,23 +187,28 @@ def test_every_copy_has_the_same_rows(spark, tmp_path, staged):
         assert plain(files.read_csv(spark, target, MEASUREMENT, header=True)) == plain(df)
 
 
-def test_published_days_are_replaced_and_old_years_not_read(spark, tmp_path):
+def test_published_days_are_replaced_and_old_years_removed(spark, tmp_path):
     path = str(tmp_path / "latest")
-    as_of = date(2024, 2, 10)
-    assert publish.read_published_days(spark, path, as_of).count() == 0
+    assert publish.read_published_days(spark, path).count() == 0
     publish.publish_days(
         rows(
             spark,
-            (1, "2022-12-31T23:00:00", "pm1", 0.0),
-            (1, "2024-02-03T06:30:00", "pm1", 1.0),
-            (1, "2024-02-04T06:30:00", "pm1", 2.0),
+            (1, "2021-12-31T23:00:00", "pm1", 0.0),
+            (1, "2022-12-31T23:00:00", "pm1", 0.5),
+            (1, "2023-02-03T06:30:00", "pm1", 1.0),
+            (1, "2023-02-04T06:30:00", "pm1", 2.0),
         ),
         path,
+        date(2023, 2, 10),
     )
-    publish.publish_days(rows(spark, (1, "2024-02-04T07:00:00", "pm1", 3.0)), path)
-    assert plain(publish.read_published_days(spark, path, as_of)) == [
-        (1, "2024-02-03T06:30:00", "pm1", 1.0),
-        (1, "2024-02-04T07:00:00", "pm1", 3.0),
+    assert sorted(folder.name for folder in (tmp_path / "latest").glob("utc*")) == [
+        "utc_date=2022-12-31", "utc_date=2023-02-03", "utc_date=2023-02-04"
+    ]
+    publish.publish_days(rows(spark, (1, "2023-02-04T07:00:00", "pm1", 3.0)), path, date(2024, 2, 10))
+    # Read as plain files, without the range.
+    assert plain(publish.read_published_days(spark, path)) == [
+        (1, "2023-02-03T06:30:00", "pm1", 1.0),
+        (1, "2023-02-04T07:00:00", "pm1", 3.0),
     ]
 
 

@@ -67,19 +67,46 @@ def test_upsert_leaves_other_days_alone(spark, path, tmp_path):
     assert before == after
 
 
-def test_touched_days_prune_by_list_and_by_range(spark, path):
+def test_touched_days_are_the_batch_days_and_prune_by_range(spark, path):
     wh.write_days(
         rows(spark, (1, FEB3, "pm1", 1.0), (1, FEB4, "pm1", 2.0), (1, FEB5, "pm1", 3.0)), path
     )
-    batch = rows(spark, (1, FEB3, "pm1", 1.0), (1, FEB5, "pm1", 2.0))
     stored = wh.read_warehouse(spark, path)
-    assert stored.filter(wh.touched_days(batch)).count() == 2
-    by_range = stored.filter(wh.touched_days(batch, limit=1))
-    assert by_range.count() == 3
-    for pruned in (stored.filter(wh.touched_days(batch)), by_range):
-        assert "PartitionFilters: [isnotnull(utc_date" in plan_of(pruned) or (
-            "PartitionFilters: [utc_date" in plan_of(pruned)
-        )
+    ends = wh.touched(stored, rows(spark, (1, FEB3, "pm1", 1.0), (1, FEB5, "pm1", 2.0)))
+    assert [row[1] for row in plain(ends)] == [FEB3, FEB5]
+    assert "utc_date#" in plan_of(ends) and "<= 2024-02-05" in plan_of(ends)
+    assert wh.touched(stored, spark.createDataFrame([], WAREHOUSE)) is None
+
+
+def test_new_days_are_written_beside_a_swap(spark, path, tmp_path):
+    wh.upsert(rows(spark, (1, FEB3, "pm1", 1.0)), path)
+    wh.upsert(rows(spark, (1, FEB3, "pm1", 2.0), (1, FEB4, "pm1", 3.0)), path)
+    assert plain(wh.read_warehouse(spark, path)) == [(1, FEB3, "pm1", 2.0), (1, FEB4, "pm1", 3.0)]
+    assert not (tmp_path / "warehouse" / wh.SWAP).exists()
+
+
+@pytest.mark.parametrize("load", [wh.append_new, wh.upsert])
+def test_a_swap_that_died_is_finished_by_the_next_load(spark, path, tmp_path, load, monkeypatch):
+    wh.upsert(rows(spark, (1, FEB3, "pm1", 1.0), (2, FEB3, "pm1", 5.0)), path)
+    real, calls = wh.finish_swap, []
+
+    def dies(spark, path):
+        calls.append(path)
+        if len(calls) > 1:
+            # The day is deleted, and the new files never get to their place.
+            for file in (tmp_path / "warehouse/utc_date=2024-02-03").iterdir():
+                file.unlink()
+            raise RuntimeError("lost")
+        real(spark, path)
+
+    monkeypatch.setattr(wh, "finish_swap", dies)
+    with pytest.raises(RuntimeError):
+        wh.upsert(rows(spark, (1, FEB3, "pm1", 2.0)), path)
+    monkeypatch.setattr(wh, "finish_swap", real)
+    load(rows(spark, (1, FEB4, "pm1", 3.0)), path)
+    assert plain(wh.read_warehouse(spark, path)) == [
+        (1, FEB3, "pm1", 2.0), (1, FEB4, "pm1", 3.0), (2, FEB3, "pm1", 5.0)
+    ]
 
 
 _VALUES = st.one_of(st.none(), st.integers(0, 5).map(float))
