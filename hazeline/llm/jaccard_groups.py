@@ -43,6 +43,7 @@ from hazeline.llm.bind import free_name
 from hazeline.llm.chunked import slices
 from hazeline.llm.components import components
 from hazeline.llm.id_map import IdMap
+from hazeline.llm.memory import released
 from hazeline.llm.shingles import _mixed, distinct, shingled
 from hazeline.llm.shipping import ship
 from hazeline.scratch import discard, new_dir
@@ -84,7 +85,7 @@ def crowded_classes(docs: DataFrame, words: int) -> np.ndarray:
             [pa.array(np.append(out, -1)), pa.array(np.append(total[out].astype(np.int64), total.sum()))], names=["class", "n"]
         )
 
-    counts = docs.select("text").mapInArrow(count, "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(released(count), "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
     crowded = np.zeros(1 << CLASS_BITS, bool)
     whole = counts.filter("class = -1").first()
     if whole is not None and whole["n"]:
@@ -131,7 +132,7 @@ def described(docs: DataFrame, words: int, percent: int, crowded: np.ndarray) ->
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run,
+        released(run),
         "doc_id long, n long, set_a long, set_b long, pre_a long, pre_b long, prefix binary, sketch binary",
     )
 
@@ -191,8 +192,8 @@ def meeting_rows(groups: DataFrame, parts: int) -> DataFrame:
             )
 
     schema = "token long, gid long, n int, place int"
-    return groups.select("gid", "n", "prefix").mapInArrow(spread, schema).repartition(parts, "token").mapInArrow(
-        meet, schema
+    return groups.select("gid", "n", "prefix").mapInArrow(released(spread), schema).repartition(parts, "token").mapInArrow(
+        released(meet), schema
     )
 
 
@@ -218,7 +219,7 @@ def neighbour_pairs(rows: DataFrame, percent: int, parts: int) -> DataFrame:
             high.append(gid[large[ok]])
         yield _pairs(np.concatenate(low), np.concatenate(high))
 
-    return rows.repartition(parts, "token").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition(parts, "token").mapInArrow(released(run), "a long, b long").distinct()
 
 
 def crossing_pairs(rows: DataFrame, percent: int, parts: int) -> DataFrame:
@@ -249,7 +250,7 @@ def crossing_pairs(rows: DataFrame, percent: int, parts: int) -> DataFrame:
         if held:
             yield _pairs(*(np.concatenate(c) for c in zip(*held)))
 
-    return rows.repartition(parts, "token").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition(parts, "token").mapInArrow(released(run), "a long, b long").distinct()
 
 
 def _promising(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -269,7 +270,7 @@ def _promising(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
             ok = np.minimum(s, t).sum(axis=1, dtype=np.int64) >= least_overlap(n, m, percent)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
-    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").mapInArrow(released(run), "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -296,7 +297,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     names=["rep", "codes"],
                 )
 
-    return marked.mapInArrow(run, "rep long, codes binary")
+    return marked.mapInArrow(released(run), "rep long, codes binary")
 
 
 def _wide(codes: bytes) -> np.ndarray:
@@ -320,7 +321,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     one = sets.select(F.col("rep").alias("a"), F.col("codes").alias("c_u"))
     two = sets.select(F.col("rep").alias("b"), F.col("codes").alias("c_v"))
-    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long").distinct()
+    return pairs.join(one, "a").join(two, "b").mapInArrow(released(run), "a long, b long").distinct()
 
 
 def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

@@ -40,6 +40,7 @@ from hazeline.llm.bind import free_name
 from hazeline.llm.chunked import expand, slices
 from hazeline.llm.id_map import IdMap
 from hazeline.llm.induced import Sorter
+from hazeline.llm.memory import give_back, released
 from hazeline.llm.shingles import _mixed
 from hazeline.llm.shipping import ship
 from hazeline.scratch import discard, new_dir
@@ -160,7 +161,7 @@ def _anchored(docs: DataFrame, length: int, parts: int) -> DataFrame:
         if held:
             yield from deal()
 
-    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, BLOBS)
+    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(released(run), BLOBS)
 
 
 def _gathered(blobs: DataFrame, length: int, parts: int) -> DataFrame:
@@ -189,7 +190,7 @@ def _gathered(blobs: DataFrame, length: int, parts: int) -> DataFrame:
         if rows:
             yield _batch(rows)
 
-    return blobs.repartition(parts, "shard").mapInArrow(run, BLOBS)
+    return blobs.repartition(parts, "shard").mapInArrow(released(run), BLOBS)
 
 
 def _requests(blobs: DataFrame, parts: int) -> DataFrame:
@@ -213,7 +214,7 @@ def _requests(blobs: DataFrame, parts: int) -> DataFrame:
             )
 
     return blobs.filter(F.col("kind") == REQUESTS).select("shard", "data").repartition(parts, "shard").mapInArrow(
-        run, "doc_id long, wanted binary"
+        released(run), "doc_id long, wanted binary"
     )
 
 
@@ -260,7 +261,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame, length: int, shards: int) -> Da
 
     near = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     asked = near.filter(IdMap(wanted, "doc_id").maybe(F.col("doc_id"))).join(wanted, "doc_id")
-    return asked.select("text", "wanted").mapInArrow(run, "shard int, contexts binary, bytes binary")
+    return asked.select("text", "wanted").mapInArrow(released(run), "shard int, contexts binary, bytes binary")
 
 
 def repeated_windows(buckets, begins, doc, first, width, length: int) -> Iterator[Columns]:
@@ -336,7 +337,7 @@ def _sorted(fetched: DataFrame, length: int, shards: int, parts: int) -> DataFra
             if held:
                 yield deal()
 
-    return fetched.repartition(shards, "shard").mapInArrow(run, BLOBS)
+    return fetched.repartition(shards, "shard").mapInArrow(released(run), BLOBS)
 
 
 def _runs(blobs: DataFrame, parts: int) -> DataFrame:
@@ -352,7 +353,7 @@ def _runs(blobs: DataFrame, parts: int) -> DataFrame:
             lists = [pa.ListArray.from_arrays(pa.array((part - part[0]).astype(np.int32)), pa.array(c[part[0] : part[-1]])) for c in (start, end)]
             yield pa.RecordBatch.from_arrays([pa.array(doc[part[:-1]]), *lists], names=["doc_id", "starts", "ends"])
 
-    return blobs.repartition(parts, "shard").mapInArrow(run, "doc_id long, starts array<long>, ends array<long>")
+    return blobs.repartition(parts, "shard").mapInArrow(released(run), "doc_id long, starts array<long>, ends array<long>")
 
 
 def _stored(df: DataFrame, label: str, paths: list[str]) -> DataFrame:
@@ -401,7 +402,10 @@ def _cutter(characters: bool):
                     spans += 1
             kept = np.frombuffer(raw, np.uint8)[keep].tobytes()
             rows.append((kept, len(raw) - len(kept), spans))
-        return pd.DataFrame(rows, columns=["kept", "n_removed", "n_spans"])
+        out = pd.DataFrame(rows, columns=["kept", "n_removed", "n_spans"])
+        del rows
+        give_back()
+        return out
 
     return cut
 
