@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import jaccard_groups, lexicon, merkle, packing, pseudonyms, quality_rules, secret_scan, suffix_dedup, token_blocks, warc_zip
+from hazeline.llm import (
+    impact_index, importance, jaccard_groups, lexicon, merkle, packing, pseudonyms, quality_rules,
+    secret_scan, suffix_dedup, token_blocks, warc_zip, whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +57,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+OP11_SQL = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(range(1, least(len(q.x), len(c.x)) + 1), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
+"""
+
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -137,16 +152,30 @@ def op10_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return impact_index.nearest(rows, rows.filter("vec_id % 50 = 0"), k=5)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Query]:
     return {
         query.__name__: query
         for query in (
             op1_warc_zip, op2_group_jaccard, op3_merkle_fingerprints, op4_token_blocks,
             op5_suffix_dedup, op6_differencing_packs, op7_feistel_pseudonyms, op8_entropy_secrets,
-            op9_quality_rules, op10_lexicon_bpe,
+            op9_quality_rules, op10_lexicon_bpe, op11_impact_search, op12_importance_resampling,
+            op13_bit_sliced_whitening,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_zip": OP1_SQL, "op9_quality_rules": OP9_SQL}
+    return {"op1_warc_zip": OP1_SQL, "op9_quality_rules": OP9_SQL, "op11_impact_search": OP11_SQL}
