@@ -3,8 +3,9 @@
 The split of such a tokenizer starts a new piece at a blank that something other than white
 space follows, and where an ASCII letter is followed by another ASCII character that is none.
 So a text's ids are those of its chunks, one after the other, and each distinct chunk is
-resolved once. Chunks are told apart by 64 bits of a keyed polynomial of their bytes, worked
-out for a slice of texts at a time; what a worker remembers is bounded, then forgotten.
+resolved once. Chunks are looked up by 64 bits of a keyed polynomial of their bytes, worked
+out for a slice of texts at a time, and compared with the bytes that are remembered; those that
+only share a code are resolved by themselves. What a worker remembers is bounded, then forgotten.
 A text that holds a special token's own text is one chunk.
 """
 
@@ -18,9 +19,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2_000_000
-MEMO_ENTRIES = 1_500_000
-MEMO_IDS = 12_000_000
+SLICE_BYTES = 1_000_000
+MEMO_ENTRIES = 500_000
+MEMO_IDS = 4_000_000
+MEMO_BYTES = 16_000_000
 
 _BYTES = np.arange(256)
 _LETTER = ((_BYTES | 32) >= ord("a")) & ((_BYTES | 32) <= ord("z")) & (_BYTES < 128)
@@ -112,33 +114,55 @@ class ChunkEncoder:
     def forget(self) -> None:
         self.codes = np.zeros(0, np.uint64)  # ascending
         self.entry = np.zeros(0, np.int64)  # of each code, its place in starts and sizes
-        self.n, self.used = 0, 0
+        self.n, self.used, self.held = 0, 0, 0
         self.flat = np.empty(1 << 16, np.uint32)
         self.starts = np.empty(1 << 14, np.int64)
         self.sizes = np.empty(1 << 14, np.int64)
+        # The bytes of each entry, and where they lie.
+        self.text = np.empty(1 << 16, np.uint8)
+        self.places = np.empty(1 << 14, np.int64)
+        self.lengths = np.empty(1 << 14, np.int64)
 
-    def _learn(self, codes: np.ndarray, chunks: list[str], opening: bool) -> None:
+    def _learn(self, codes: np.ndarray, chunks: list[bytes], opening: bool) -> None:
         if not chunks:
             return
-        ids, sizes = self.resolve(chunks, opening)
+        ids, sizes = self.resolve([chunk.decode() for chunk in chunks], opening)
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        total = int(lengths.sum())
         while self.n + len(chunks) > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
-            self.sizes = np.concatenate([self.sizes, np.empty_like(self.sizes)])
+            for name in ("starts", "sizes", "places", "lengths"):
+                held = getattr(self, name)
+                setattr(self, name, np.concatenate([held, np.empty_like(held)]))
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        ends = np.cumsum(sizes)
-        self.starts[self.n : self.n + len(chunks)] = self.used + ends - sizes
-        self.sizes[self.n : self.n + len(chunks)] = sizes
+        while self.held + total > len(self.text):
+            self.text = np.concatenate([self.text, np.empty_like(self.text)])
+        new = slice(self.n, self.n + len(chunks))
+        self.starts[new], self.sizes[new] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.places[new], self.lengths[new] = self.held + np.cumsum(lengths) - lengths, lengths
         self.flat[self.used : self.used + len(ids)] = ids
+        self.text[self.held : self.held + total] = np.frombuffer(b"".join(chunks), np.uint8)
         every = np.concatenate([self.codes, codes])
         order = np.argsort(every, kind="stable")
         self.codes = every[order]
         self.entry = np.concatenate([self.entry, np.arange(self.n, self.n + len(chunks))])[order]
-        self.n, self.used = self.n + len(chunks), self.used + len(ids)
+        self.n, self.used, self.held = self.n + len(chunks), self.used + len(ids), self.held + total
+
+    def _strangers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """Chunks that share their code with other bytes. The chunks cover the data from end to end."""
+        size = ends - starts
+        alike = self.lengths[entries] == size
+        if alike.all() and np.array_equal(expand(self.text, self.places[entries], size), data):
+            return np.zeros(0, np.int64)
+        some = np.flatnonzero(alike)
+        differs = expand(self.text, self.places[entries[some]], size[some]) != expand(data, starts[some], size[some])
+        wrong = ~alike
+        wrong[np.repeat(some, size[some])[differs]] = True
+        return np.flatnonzero(wrong)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each text has."""
-        if self.n > MEMO_ENTRIES or self.used > MEMO_IDS:
+        if self.n > MEMO_ENTRIES or self.used > MEMO_IDS or self.held > MEMO_BYTES:
             self.forget()
         starts, ends, codes, opening = cut(data, offsets, self.special)
         if not len(starts):
@@ -154,12 +178,16 @@ class ChunkEncoder:
             for opens in (True, False):
                 part = new[opening[sample[new]] == opens]
                 places = sample[part]
-                chunks = [raw[a:b].decode() for a, b in zip(starts[places].tolist(), ends[places].tolist())]
+                chunks = [raw[a:b] for a, b in zip(starts[places].tolist(), ends[places].tolist())]
                 self._learn(distinct[part], chunks, opens)
             at = np.searchsorted(self.codes, distinct)
         entries = self.entry[at][which]
-        sizes = self.sizes[entries]
-        ids = expand(self.flat, self.starts[entries], sizes)
+        sizes, places, flat = self.sizes[entries], self.starts[entries], self.flat
+        for i in self._strangers(data, starts, ends, entries).tolist():
+            own, _ = self.resolve([data[starts[i] : ends[i]].tobytes().decode()], bool(opening[i]))
+            sizes[i], places[i] = len(own), len(flat)
+            flat = np.concatenate([flat, own.astype(np.uint32)])
+        ids = expand(flat, places, sizes)
         # A text's ids end where the chunks of the next begin.
         bounds = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, offsets)]
         return ids, np.diff(bounds)

@@ -13,15 +13,16 @@ n - ceil(t * n) + 1 of each, their prefixes.
    overlap; pairs of groups that can't reach t are dropped. At first each group is paired with
    three neighbours in each of 64 orders only, which is linear in the prefixes.
 5. What the sketches allow is verified on the sets themselves.
-6. The links found give components. Then groups are expanded to their members, and all other
-   pairs that meet and lie in different components are taken the same way, without limit: no
-   link between components is lost, and pairs inside one component change nothing.
+6. The links found give components. Then all other pairs of groups that meet and don't lie in
+   one component are taken, without limit, each at the first shingle the two share; a row
+   carries the last few meeting shingles before its own to tell. Only the pairs left are
+   expanded to their members, and members of different components verified: no link between
+   components is lost, and pairs inside one component change nothing.
 
 Shingles in a group of copies are met once, not once for each pair of copies. Nothing is
 gathered on the driver but the list of crowded classes and a bit map of fixed size.
 
-Sets are compared by 63-bit codes to find prefixes, and by the low 40 bits of the codes to
-verify (a chance of about 1e-8 that a pair at the very threshold is told wrongly).
+Shingles are told apart by 63 bits, in prefixes and in verification.
 
 Defined results: a null or empty text, or one without words, has no shingles, is linked with
 nothing and is its own component; fewer words than a shingle has are one shingle; repeated
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeline.llm.bind import free_name
@@ -53,6 +54,8 @@ CROWDED = 4.0  # times the mean count of a class
 SKETCH = 128
 ORDERS = 64
 NEIGHBOURS = (1, 3, 7)  # how far on, in each order
+EARLIER = 8  # meeting shingles before its own that a row carries
+TASK_ROWS = 1_000_000  # prefix shingles to a task
 _LAST = np.uint64(1) << np.uint64(63)
 
 
@@ -222,16 +225,37 @@ def neighbour_pairs(rows: DataFrame, percent: int, parts: int) -> DataFrame:
     return rows.repartition(parts, "token").mapInArrow(released(run), "a long, b long").distinct()
 
 
-def crossing_pairs(rows: DataFrame, percent: int, parts: int) -> DataFrame:
-    """All pairs that meet and lie in different components; rows have a column `label`."""
+def with_earlier(rows: DataFrame) -> DataFrame:
+    """Adds `earlier`: the group's meeting shingles that stand before this one, the last few;
+    none where `mixed` says that two groups go by one id."""
+    before = Window.partitionBy("gid").orderBy("place").rowsBetween(-EARLIER, -1)
+    return rows.withColumn("earlier", F.collect_list(F.when(~F.col("mixed"), F.col("token"))).over(before))
+
+
+def _shared_earlier(earlier: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether two rows carry a common shingle; absent ones are told apart by their sides."""
+    out = np.zeros(len(i), bool)
+    for low in range(0, len(i), 50_000):
+        one, two = earlier[i[low : low + 50_000]], earlier[j[low : low + 50_000]]
+        same = (one[:, :, None] == two[:, None, :]) & (one[:, :, None] >= 0)
+        out[low : low + 50_000] = same.any(axis=(1, 2))
+    return out
+
+
+def crossing_groups(rows: DataFrame, percent: int, parts: int) -> DataFrame:
+    """All pairs of groups that meet and whose members are not all of one component; rows have
+    the least and the greatest component of the group, `low` and `high`, and `earlier`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (_, gid, n, place, label), begins = _runs(batches, ["token", "gid", "n", "place", "label"])
+        names = ["token", "gid", "n", "place", "low", "high", *(f"e{k}" for k in range(EARLIER))]
+        columns, begins = _runs(batches, names)
+        _, gid, n, place, least, greatest = columns[:6]
+        earlier = np.stack(columns[6:], axis=1)
         n, place = n.astype(np.int64), place.astype(np.int64)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
         for begin, end in zip(begins[:-1].tolist(), begins[1:].tolist()):
-            if (label[begin:end] == label[begin]).all():
+            if (least[begin:end] == least[begin]).all() and (greatest[begin:end] == least[begin]).all():
                 continue
             # Ascending sizes: a row's partners are those behind it up to n / t.
             reach = np.searchsorted(n[begin:end], 100 * n[begin:end] // percent, "right") + begin
@@ -239,10 +263,12 @@ def crossing_pairs(rows: DataFrame, percent: int, parts: int) -> DataFrame:
                 high = min(low + 512, end)
                 i = np.arange(low, high)[:, None]
                 j = np.arange(low + 1, int(reach[high - begin - 1]))[None, :]
-                ok = (j > i) & (label[i] != label[j])
+                ok = (j > i) & ((least[i] != greatest[j]) | (greatest[i] != least[j]))
                 i, j = (x[ok] for x in np.broadcast_arrays(i, j))
                 ok = _near(n[i], place[i], n[j], place[j], percent)
-                held.append((gid[i[ok]], gid[j[ok]]))
+                i, j = i[ok], j[ok]
+                first = ~_shared_earlier(earlier, i, j)
+                held.append((gid[i[first]], gid[j[first]]))
                 count += len(held[-1][0])
                 if count > 1_000_000:
                     yield _pairs(*(np.concatenate(c) for c in zip(*held)))
@@ -250,7 +276,21 @@ def crossing_pairs(rows: DataFrame, percent: int, parts: int) -> DataFrame:
         if held:
             yield _pairs(*(np.concatenate(c) for c in zip(*held)))
 
-    return rows.repartition(parts, "token").mapInArrow(released(run), "a long, b long").distinct()
+    # Codes are never negative but for crowded shingles; absent ones are -1 once shifted.
+    carried = [
+        F.coalesce(F.get("earlier", F.lit(k)).bitwiseAND(F.lit((1 << 63) - 1)), F.lit(-1).cast("bigint")).alias(f"e{k}")
+        for k in range(EARLIER)
+    ]
+    flat = rows.select("token", "gid", "n", "place", "low", "high", *carried)
+    return flat.repartition(parts, "token").mapInArrow(released(run), "a long, b long").distinct()
+
+
+def members_of(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs of groups expanded to pairs of their members (gid, rep, label) of different labels."""
+    one = members.select(F.col("gid").alias("a"), F.col("rep").alias("u"), F.col("label").alias("l_u"))
+    two = members.select(F.col("gid").alias("b"), F.col("rep").alias("v"), F.col("label").alias("l_v"))
+    both = pairs.join(one, "a").join(two, "b").filter("l_u <> l_v")
+    return both.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
 
 
 def _promising(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -274,7 +314,7 @@ def _promising(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """rep, codes (five bytes each, ascending): sets of the wanted representatives, and of few
+    """rep, codes (ascending): sets of the wanted representatives, and of few
     others that share their class in the bit map."""
     known = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
     marked = known.filter(IdMap(wanted, "id").maybe(F.col("doc_id")))
@@ -283,15 +323,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         for kept in batches:
             for start, data, offsets in slices(kept.column("text")):
                 codes, sizes = shingled(data, offsets, words)
-                codes, sizes = distinct(codes & np.uint64((1 << 40) - 1), sizes)
-                five = codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                ends = np.concatenate([[0], np.cumsum(sizes)]) * 5
+                codes, sizes = distinct(codes, sizes)
+                ends = np.concatenate([[0], np.cumsum(sizes)]) * 8
                 yield pa.RecordBatch.from_arrays(
                     [
                         kept.column("doc_id").slice(start, len(sizes)),
                         pa.BinaryArray.from_buffers(
                             pa.binary(), len(sizes),
-                            [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(five))],
+                            [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(codes.astype("<u8"))],
                         ),
                     ],
                     names=["rep", "codes"],
@@ -300,19 +339,12 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return marked.mapInArrow(released(run), "rep long, codes binary")
 
 
-def _wide(codes: bytes) -> np.ndarray:
-    five = np.frombuffer(codes, np.uint8).reshape(-1, 5)
-    wide = np.zeros((len(five), 8), np.uint8)
-    wide[:, :5] = five
-    return wide.view("<u8").reshape(-1)
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
             for one, two in zip(batch.column("c_u"), batch.column("c_v")):
-                x, y = _wide(one.as_py()), _wide(two.as_py())
+                x, y = np.frombuffer(one.as_py(), "<u8"), np.frombuffer(two.as_py(), "<u8")
                 both = np.concatenate([x, y])
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
@@ -348,6 +380,9 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     kept = full.join(members.select(F.col("rep").alias("doc_id"), "gid", "set_a", "set_b"), own)
     sketches = _stored(kept.select(F.col("doc_id").alias("rep"), "n", "sketch").distinct(), "sketches", paths)
     heads = kept.filter("doc_id = gid").dropDuplicates(own)
+    # A task gathers the rows of its shingles: as many tasks as keep them few.
+    meeting = full.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
+    parts = max(parts, -(-meeting // (8 * TASK_ROWS)))
     rows = _stored(meeting_rows(heads, parts), "meeting", paths)
     # Members of a group meet at the group itself: they share all of a prefix.
     inside = members.filter("members > 1").select(
@@ -364,12 +399,16 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     first_pairs = _stored(neighbour_pairs(rows.union(inside), percent, parts), "pairs", paths)
     first = links_of(first_pairs)
     near = components(first).select(F.col("u").alias("gid"), F.col("v").alias("label"))
-    single = members.select("gid", "rep")
-    of_members = rows.join(single, "gid").select("token", F.col("rep").alias("gid"), "n", "place").union(inside)
-    labelled = of_members.join(near, "gid", "left").select(
-        "token", "gid", "n", "place", F.coalesce("label", "gid").alias("label")
+    labelled = members.select("gid", "rep", "token").join(near.withColumnRenamed("gid", "rep"), "rep", "left").select(
+        "gid", "rep", "token", F.coalesce("label", "rep").alias("label")
+    )
+    spans = labelled.groupBy("gid").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), (F.min("token") < F.max("token")).alias("mixed")
     )
-    crossing = crossing_pairs(labelled, percent, parts).join(first_pairs, ["a", "b"], "left_anti")
+    groups = crossing_groups(with_earlier(rows.join(spans, "gid")), percent, parts)
+    # Members of a group meet at the group itself.
+    torn = spans.filter("low <> high").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
+    crossing = members_of(_stored(groups.union(torn), "groups", paths), labelled).join(first_pairs, ["a", "b"], "left_anti")
     second = links_of(_stored(crossing, "pairs", paths))
     same_set = full.join(classes.select("set_a", "set_b", "n", "rep"), ["set_a", "set_b", "n"]).filter(
         "doc_id <> rep"

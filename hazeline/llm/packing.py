@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from hazeline.llm.chunked import library_encoder, slices
+from hazeline.llm.memory import released
 from hazeline.llm.shipping import ship
 
 CAPACITY = 1024
@@ -179,4 +180,4 @@ def pack(
         if rows:
             yield flushed()
 
-    return docs.select("doc_id", "text").mapInArrow(run, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(released(run), PIECES)

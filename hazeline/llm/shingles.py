@@ -1,7 +1,8 @@
 """Sets of word shingles, worked out by array operations for a slice of texts at a time.
 
-Words are runs of anything but ASCII white space, A to Z in lower case. A shingle is told by
-63 bits of a keyed polynomial of its words. Texts of fewer words than a shingle has are one
+Words are runs of anything but ASCII white space, A to Z in lower case. A word's code is the sum
+of 64 scattered bits for each byte at its place in the word, a shingle's that of its words at
+their places; 63 bits of it tell shingles apart. Texts of fewer words than a shingle has are one
 shingle; texts without a word have none.
 """
 
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from hazeline.llm.chunked import _CODES, SLICE_BYTES, _powers
+from hazeline.llm.chunked import expand
 
 _BYTES = np.arange(256)
 _WHITE = (_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13))
@@ -23,6 +24,29 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# The first places of a word in a table, later ones when they are met.
+_NEAR = 64
+_KEY = np.uint64(0x5851F42D4C957F2D)
+_AT = _mixed(_KEY + np.arange(_NEAR * 256, dtype=np.uint64))
+
+
+def word_codes(lowered: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits for each word. Every (place, byte) has bits of its own, so that no order of bytes
+    cancels out, as it can in a polynomial modulo a power of two."""
+    size = ends - starts
+    text = expand(lowered, starts, size)
+    place = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
+    bits = np.empty(len(text), np.uint64)
+    near = place < _NEAR
+    bits[near] = _AT[place[near] * 256 + text[near]]
+    far = np.flatnonzero(~near)
+    if len(far):
+        bits[far] = _mixed(_KEY + place[far].astype(np.uint64) * np.uint64(256) + text[far])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(bits, dtype=np.uint64)])
+    last = np.cumsum(size)
+    return _mixed(sums[last] - sums[last - size] + size.astype(np.uint64))
+
+
 def shingled(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all shingles in the order of the texts, and how many each text has."""
     texts = len(offsets) - 1
@@ -39,10 +63,7 @@ def shingled(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndar
     after[-1] = False
     after[:-1] = solid[1:]
     ends = np.flatnonzero(solid & (~after | opens[1:])) + 1
-    powers, back = _powers(max(SLICE_BYTES, 1 << int(len(data)).bit_length()))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_CODES[_LOWER[data]] * powers[: len(data)], out=sums[1:])
-    code = _mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    code = word_codes(_LOWER[data], starts, ends)
     first = np.searchsorted(starts, offsets)  # of each text, its first word
     count = np.diff(first)
     sizes = np.where(count >= words, count - (words - 1), np.minimum(count, 1))

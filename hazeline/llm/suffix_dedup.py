@@ -118,13 +118,14 @@ def joined(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> Columns:
     doc, start, end = doc[order], start[order], end[order]
     if not len(doc):
         return doc, start, end
-    # Running ends inside a document: places are far below 2**40.
-    number = np.cumsum(np.append(False, doc[1:] != doc[:-1])).astype(np.int64)
-    reach = np.maximum.accumulate((number << 40) + end)
-    fresh = np.append(True, ((number << 40) + start)[1:] > reach[:-1])
+    # Running ends inside a document: documents stand apart by more than any of them is long.
+    apart = int(end.max()) + 2
+    number = np.cumsum(np.append(False, doc[1:] != doc[:-1])).astype(np.int64) * apart
+    reach = np.maximum.accumulate(number + end)
+    fresh = np.append(True, (number + start)[1:] > reach[:-1])
     at = np.flatnonzero(fresh)
     last = np.append(at[1:], len(doc)) - 1
-    return doc[at], start[at], reach[last] - (number[last] << 40)
+    return doc[at], start[at], reach[last] - number[last]
 
 
 def _spans(columns: Columns, length: int, parts: int) -> Iterator[tuple[int, int, bytes]]:
