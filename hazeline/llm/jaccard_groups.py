@@ -54,7 +54,7 @@ CROWDED = 4.0  # times the mean count of a class
 SKETCH = 128
 ORDERS = 64
 NEIGHBOURS = (1, 3, 7)  # how far on, in each order
-EARLIER = 8  # meeting shingles before its own that a row carries
+EARLIER = 4  # meeting shingles before its own that a row carries
 TASK_ROWS = 1_000_000  # prefix shingles to a task
 _LAST = np.uint64(1) << np.uint64(63)
 
@@ -124,7 +124,9 @@ def described(docs: DataFrame, words: int, percent: int, crowded: np.ndarray) ->
                     own = codes[end - n : end]
                     prefix = own[: n - -(-percent * n // 100) + 1] if n else own
                     sketch = np.bincount((own & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-                    row = (n, *_key(own), *_key(prefix), prefix.tobytes(), sketch.astype("<u4").tobytes())
+                    # A byte for each count where all fit, else four.
+                    kind = "<u1" if sketch.max(initial=0) < 256 else "<u4"
+                    row = (n, *_key(own), *_key(prefix), prefix.tobytes(), sketch.astype(kind).tobytes())
                     for column, value in zip(columns, row):
                         column.append(value)
                 kinds = [pa.int64()] * 5 + [pa.binary()] * 2
@@ -285,32 +287,29 @@ def crossing_groups(rows: DataFrame, percent: int, parts: int) -> DataFrame:
     return flat.repartition(parts, "token").mapInArrow(released(run), "a long, b long").distinct()
 
 
-def members_of(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs of groups expanded to pairs of their members (gid, rep, label) of different labels."""
-    one = members.select(F.col("gid").alias("a"), F.col("rep").alias("u"), F.col("label").alias("l_u"))
-    two = members.select(F.col("gid").alias("b"), F.col("rep").alias("v"), F.col("label").alias("l_v"))
-    both = pairs.join(one, "a").join(two, "b").filter("l_u <> l_v")
-    return both.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+def _counts(sketches: list[bytes]) -> np.ndarray:
+    if all(len(sketch) == SKETCH for sketch in sketches):
+        return np.frombuffer(b"".join(sketches), "<u1").reshape(-1, SKETCH)
+    return np.stack([np.frombuffer(s, "<u1" if len(s) == SKETCH else "<u4").astype("<u4") for s in sketches])
 
 
-def _promising(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs that their sketches let reach t."""
-    one = sketches.select(F.col("rep").alias("a"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u"))
-    two = sketches.select(F.col("rep").alias("b"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v"))
+def _promising(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups expanded to their members (gid, rep, label, n, sketch): those of different
+    labels that their sketches let reach t."""
+    one = members.select(F.col("gid").alias("a"), *[F.col(c).alias(f"{c}_u") for c in ("rep", "label", "n", "sketch")])
+    two = members.select(F.col("gid").alias("b"), *[F.col(c).alias(f"{c}_v") for c in ("rep", "label", "n", "sketch")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            s, t = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, SKETCH)
-                for c in ("s_u", "s_v")
-            )
+            s, t = (_counts(batch.column(c).to_pylist()) for c in ("sketch_u", "sketch_v"))
             n, m = batch.column("n_u").to_numpy(), batch.column("n_v").to_numpy()
             ok = np.minimum(s, t).sum(axis=1, dtype=np.int64) >= least_overlap(n, m, percent)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            yield _pairs(batch.column("rep_u").to_numpy()[ok], batch.column("rep_v").to_numpy()[ok])
 
-    return pairs.join(one, "a").join(two, "b").mapInArrow(released(run), "a long, b long")
+    apart = pairs.join(one, "a").join(two, "b").filter("label_u <> label_v")
+    return apart.select("rep_u", "rep_v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(released(run), "a long, b long").distinct()
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -389,18 +388,21 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         "token", F.col("rep").alias("gid"), F.col("n").cast("int").alias("n"), F.lit(0).alias("place")
     )
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        wanted = _stored(_promising(pairs, sketches, percent), "promising", paths)
+    def links_of(wanted: DataFrame) -> DataFrame:
+        wanted = _stored(wanted, "promising", paths)
         ids = wanted.select(F.col("a").alias("id")).union(wanted.select(F.col("b").alias("id")))
         sets = _stored(_sets(docs, ids, words), "sets", paths)
         links = _verified(wanted, sets, percent)
         return _stored(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "links", paths)
 
     first_pairs = _stored(neighbour_pairs(rows.union(inside), percent, parts), "pairs", paths)
-    first = links_of(first_pairs)
+    # At first every set is a group and a label of its own.
+    alone = sketches.select(F.col("rep").alias("gid"), "rep", F.col("rep").alias("label"), "n", "sketch")
+    tried = _promising(first_pairs, alone, percent)
+    first = links_of(tried)
     near = components(first).select(F.col("u").alias("gid"), F.col("v").alias("label"))
-    labelled = members.select("gid", "rep", "token").join(near.withColumnRenamed("gid", "rep"), "rep", "left").select(
-        "gid", "rep", "token", F.coalesce("label", "rep").alias("label")
+    labelled = members.select("gid", "rep", "n", "token").join(near.withColumnRenamed("gid", "rep"), "rep", "left").select(
+        "gid", "rep", "n", "token", F.coalesce("label", "rep").alias("label")
     )
     spans = labelled.groupBy("gid").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), (F.min("token") < F.max("token")).alias("mixed")
@@ -408,8 +410,9 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     groups = crossing_groups(with_earlier(rows.join(spans, "gid")), percent, parts)
     # Members of a group meet at the group itself.
     torn = spans.filter("low <> high").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
-    crossing = members_of(_stored(groups.union(torn), "groups", paths), labelled).join(first_pairs, ["a", "b"], "left_anti")
-    second = links_of(_stored(crossing, "pairs", paths))
+    of_groups = labelled.join(sketches, ["rep", "n"]).select("gid", "rep", "label", "n", "sketch")
+    crossing = _promising(groups.union(torn), of_groups, percent).join(first_pairs, ["a", "b"], "left_anti")
+    second = links_of(crossing)
     same_set = full.join(classes.select("set_a", "set_b", "n", "rep"), ["set_a", "set_b", "n"]).filter(
         "doc_id <> rep"
     ).select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
