@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeline.functions.timestamps import (
@@ -15,7 +16,7 @@ from hazeline.functions.timestamps import (
     wall_of_epoch,
 )
 from hazeline.operators.filters import REFERENCE, sensor_class
-from hazeline.plans.fetch import EVENING_HOUR, SLICE_HOURS
+from hazeline.plans.fetch import EVENING_HOUR, SLICE_HOURS, checked_hours
 
 CELL = ["locationId", "parameter", "from_utc"]
 
@@ -64,3 +65,39 @@ def completeness(plan: DataFrame, filled: DataFrame) -> DataFrame:
         )
         .withColumn("share", F.col("filled") / F.col("planned"))
     )
+
+
+def gap_runs(
+    measurements: DataFrame, sensors: DataFrame, start: date, end: date, hours: int = SLICE_HOURS
+) -> DataFrame:
+    """Unbroken runs of cells without a row, for sensors expected around the clock.
+
+    Cells are `hours` wide and lie in the Indian days of [start, end); a run is one row however
+    long it is: locationId, parameter, from_utc, to_utc, cells. No plan is expanded: the distinct
+    filled cells of a sensor, and one before the range and one after it, are put in order, and
+    where two neighbours are not next to each other there is a run between them. A sensor without
+    rows is one run. Cells are made distinct before they are sorted, so a sensor with many rows
+    has no more of them than the range has cells.
+    """
+    width = checked_hours(hours) * HOUR_SECONDS
+    epoch = date(1970, 1, 1)
+    low, high = ((day - epoch).days * DAY_SECONDS // width for day in (start, end))
+    pair = ["locationId", "parameter"]
+    cell = F.floor((epoch_seconds(measurements, "utc") + INDIA_SECONDS) / width).cast("long")
+    filled = (
+        measurements.select(*pair, cell.alias("cell"))
+        .filter((F.col("cell") >= low) & (F.col("cell") < high))
+        .distinct()
+        .join(sensors.select(*pair).distinct(), pair, "left_semi")
+    )
+    edges = sensors.select(*pair, F.explode(F.array(F.lit(low - 1), F.lit(high)).cast("array<long>")).alias("cell"))
+    in_order = Window.partitionBy(*pair).orderBy("cell")
+    following = F.lead("cell").over(in_order)
+    marks = filled.union(edges).distinct().filter(F.lit(low < high))
+    runs = marks.withColumn("next", following).filter(F.col("next") > F.col("cell") + 1)
+    return runs.select(
+        *pair,
+        wall_of_epoch((F.col("cell") + 1) * width - INDIA_SECONDS).alias("from_utc"),
+        wall_of_epoch(F.col("next") * width - INDIA_SECONDS).alias("to_utc"),
+        (F.col("next") - F.col("cell") - 1).alias("cells"),
+    )

@@ -42,7 +42,7 @@ def slice_spine(spark: SparkSession, start: date, end: date, hours: int = SLICE_
     )
 
 
-def _checked(hours: int) -> int:
+def checked_hours(hours: int) -> int:
     if not 0 < hours <= 24 or 24 % hours:
         raise ValueError(f"slices of {hours} hours do not divide a day")
     return hours
@@ -55,7 +55,7 @@ def _spread(registry: DataFrame, tasks: int | None) -> DataFrame:
 
 
 def _with_slices(days: DataFrame, hours: int) -> DataFrame:
-    hours = _checked(hours)
+    hours = checked_hours(hours)
     midnight = F.col("day").cast("timestamp_ntz")
     slices = F.sequence(
         midnight,
@@ -103,7 +103,7 @@ def sliced_plan(
 ) -> DataFrame:
     """As `daily_plan`, with community sensors asked for all day in slices."""
     planned = _with_days(_spread(registry, tasks), start, end)
-    hours = _checked(hours)
+    hours = checked_hours(hours)
     whole = F.array(F.lit(0))
     cut = F.array(*[F.lit(hour) for hour in range(0, 24, hours)])
     is_reference = F.col("sensor_class") == REFERENCE

@@ -13,13 +13,15 @@ from hazeline.functions.timestamps import parse_instant, utc_day
 from hazeline.operators.aggregates import latest_per_key, scalar
 from hazeline.operators.filters import in_range
 from hazeline.schemas import ARRIVED, DAY, KEY, MEASUREMENT, WAREHOUSE
-from hazeline.scratch import discard, exists
+from hazeline.scratch import discard, exists, mark
 from hazeline.sources.files import read_orc
 from hazeline.sources.landing import file_inventory
 
 # New content of days, waiting below the warehouse to take their place. Spark passes over
 # folders that begin with an underscore, so readers never see it.
 SWAP = "_swap/staged"
+# Stands there once all of it is staged. A file of our own: not every cluster has Spark write one.
+READY = "_swap/ready"
 COLUMNS = MEASUREMENT.names
 
 
@@ -150,13 +152,19 @@ def upsert(batch: DataFrame, path: str) -> None:
     replaces = not known.isEmpty()
     if replaces:
         old = batch.join(known, DAY, "left_semi").select(*WAREHOUSE.names)
-        write_days(merged(stored, old), f"{path}/{SWAP}", replace_all=True)
+        stage_swap(merged(stored, old), path)
         batch = batch.join(known, DAY, "left_anti").select(*WAREHOUSE.names)
     write_days(latest_per_key(batch, [*KEY, DAY], ["value"]), path)
     if replaces:
         finish_swap(spark, path)
 
 
+def stage_swap(rows: DataFrame, path: str) -> None:
+    """Write the new content of whole days to wait for its swap."""
+    write_days(rows, f"{path}/{SWAP}", replace_all=True)
+    mark(rows.sparkSession, f"{path}/{READY}")
+
+
 def finish_swap(spark: SparkSession, path: str) -> None:
     """Put completely staged days in the place of the stored ones; nothing to do without any.
 
@@ -166,7 +174,7 @@ def finish_swap(spark: SparkSession, path: str) -> None:
     One writer at a time.
     """
     staged = f"{path}/{SWAP}"
-    if exists(spark, f"{staged}/_SUCCESS"):
+    if exists(spark, f"{path}/{READY}"):
         # The staged files are already laid out by day; they are copied as they are.
         (
             spark.read.schema(WAREHOUSE)
@@ -178,7 +186,7 @@ def finish_swap(spark: SparkSession, path: str) -> None:
             .orc(path)
         )
         # First the sign that it is complete, then the rest.
-        discard(spark, f"{staged}/_SUCCESS")
+        discard(spark, f"{path}/{READY}")
     discard(spark, staged)
 
 
@@ -245,7 +253,7 @@ def compact(spark: SparkSession, path: str, days: list[date]) -> None:
         months.setdefault((day.year, day.month), []).append(day)
     for listed in months.values():
         stored = read_warehouse(spark, path).filter(F.col(DAY).isin(listed))
-        write_days(stored, f"{path}/{SWAP}", replace_all=True)
+        stage_swap(stored, path)
         finish_swap(spark, path)
 
 

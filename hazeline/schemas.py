@@ -90,6 +90,7 @@ QUARANTINE = T.StructType(
         T.StructField("raw", T.StringType()),
         T.StructField("source_file", T.StringType()),
         T.StructField("loaded_from", T.DateType()),
+        T.StructField("load", T.StringType()),
     ]
 )
 

@@ -37,13 +37,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def subfolders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly below a path; none where the path is not there."""
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file that says something is done."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(jvm_path, True).close()
+
+
+def _names(spark: SparkSession, path: str, *, folders: bool) -> list[str]:
     if not exists(spark, path):
         return []
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     below = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
-    return [status.getPath().getName() for status in below if status.isDirectory()]
+    return [status.getPath().getName() for status in below if status.isDirectory() == folders]
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path; none where the path is not there."""
+    return _names(spark, path, folders=True)
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below a path; none where the path is not there."""
+    return _names(spark, path, folders=False)
 
 
 def discard(spark: SparkSession, path: str) -> None:

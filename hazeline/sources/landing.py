@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,7 @@ from hazeline.functions.paths import day_parts, landing_day, tree_keys
 from hazeline.functions.timestamps import parse_instant, utc_day
 from hazeline.schemas import ARRIVED, CORRUPT, DAY, LANDED, RECORD, RECORD_OR_CORRUPT, STAGED, WAREHOUSE
 from hazeline.session import settings
+from hazeline.sources.json_text import WHOLE_BYTES, read_any_records
 
 # 2 ** 12 records per array keeps one array a few MB, whatever the data looks like.
 ARRAY_BITS = 12
@@ -90,23 +91,49 @@ def read_records(
     )
 
 
-def landed_records(spark: SparkSession, path: str, *, array_files: bool = True) -> DataFrame:
-    """Records as a load reads them: fields as text, source file, landing order."""
-    return read_records(spark, path, array_files=array_files, schema=LANDED, arrival=True)
+def landed_records(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    *,
+    array_files: bool | None = None,
+    whole_bytes: int = WHOLE_BYTES,
+    glob: str = "*.json",
+) -> DataFrame:
+    """Records as a load reads them: fields as text, source file, landing order.
 
+    By default every file says itself whether it holds an array or lines, and files above
+    `whole_bytes` are read by many tasks (see `json_text`). `array_files` says it for all.
+    """
+    if array_files is not None:
+        return read_records(spark, path, array_files=array_files, schema=LANDED, glob=glob, arrival=True)
+    with_source = T.StructType(
+        [*LANDED.fields, T.StructField("source_file", T.StringType()), T.StructField(ARRIVED, T.LongType())]
+    )
+    return read_or_empty(lambda: _any_landed(spark, path, whole_bytes, glob), spark, with_source)
 
-def name_source(records: DataFrame, *, arrival: bool = False) -> DataFrame:
-    """Adds the file a record came from, and on demand its landing order.
 
-    The order is the landing day, then the file's time in milliseconds (42 bits), as one
-    number; files outside day folders count as of the first day.
-    """
+def _any_landed(spark: SparkSession, path: str | Sequence[str], whole_bytes: int, glob: str) -> DataFrame:
+    records = read_any_records(spark, path, LANDED, CORRUPT, glob=glob, whole_bytes=whole_bytes)
+    return records.select(
+        *LANDED.names,
+        F.col("file").alias("source_file"),
+        _landing_order(F.col("file"), F.col("modified")).alias(ARRIVED),
+    )
+
+
+def _landing_order(path: Column, modified: Column) -> Column:
+    """The landing day, then the file's time in milliseconds (42 bits), as one number; files
+    outside day folders count as of the first day."""
+    day = F.coalesce(F.unix_date(landing_day(path)), F.lit(0)).cast("long")
+    return F.shiftleft(day, 42) + F.unix_millis(modified)
+
+
+def name_source(records: DataFrame, *, arrival: bool = False) -> DataFrame:
+    """Adds the file a record came from, and on demand its landing order."""
     path = F.col("_metadata.file_path")
     added = [path.alias("source_file")]
     if arrival:
-        day = F.coalesce(F.unix_date(landing_day(path)), F.lit(0)).cast("long")
-        moment = F.unix_millis(F.col("_metadata.file_modification_time"))
-        added.append((F.shiftleft(day, 42) + moment).alias(ARRIVED))
+        added.append(_landing_order(path, F.col("_metadata.file_modification_time")).alias(ARRIVED))
     return records.select("*", *added)
 
 

@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hazeline.functions.timestamps import parse_instant
 from hazeline.operators.aggregates import reading_summary, tumbling
 from hazeline.plans.warehouse import append_new
-from hazeline.schemas import CORRUPT, KEY, RECORD_OR_CORRUPT
+from hazeline.schemas import CORRUPT, KEY, LANDED
 from hazeline.scratch import discard
 from hazeline.session import settings
-from hazeline.sources.landing import name_source, ordered_rows, read_staged, stage
+from hazeline.sources.landing import name_source, ordered_rows, parsed, read_staged, stage
 
 # Bytes of landing files in a micro-batch; all files are loaded, in as many batches as it takes.
 BATCH_BYTES = 64 << 30
@@ -35,9 +34,10 @@ def record_stream(
     array_files: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """New landing files as a stream of records, oldest file first."""
+    """New landing files as a stream of records, oldest file first; fields as text, so that a wrong
+    one spoils its own row only."""
     reader = (
-        spark.readStream.schema(RECORD_OR_CORRUPT)
+        spark.readStream.schema(LANDED)
         .option("multiLine", array_files)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
@@ -54,10 +54,8 @@ def record_stream(
 
 def measurement_stream(records: DataFrame) -> DataFrame:
     """Canonical measurements; rows without a usable key or time are left to the quarantine."""
-    parsed = records.select(
-        "locationId", parse_instant(F.col("date.utc")).alias("utc"), "parameter", "value"
-    )
-    return parsed.na.drop(subset=KEY)
+    good = parsed(records).filter(F.col("outcome") == "good")
+    return good.select("locationId", "utc", "parameter", "value").na.drop(subset=KEY)
 
 
 def ingest_stream(
