@@ -11,11 +11,12 @@ n - ceil(t * n) + 1 of each, their prefixes.
 3. Documents with one set become one; sets with one prefix and one size become a group.
 4. Groups meet at the shingles of their prefixes. Size and place in the prefix bound the
    overlap; pairs of groups that can't reach t are dropped. At first each group is paired with
-   three neighbours in each of 64 orders only, which is linear in the prefixes.
+   four neighbours in each of 64 orders only, which is linear in the prefixes.
 5. What the sketches allow is verified on the sets themselves.
 6. The links found give components. Then all other pairs of groups that meet and don't lie in
    one component are taken, without limit, each at the first shingle the two share; a row
-   carries the last few meeting shingles before its own to tell. Only the pairs left are
+   carries the last few meeting shingles before its own to tell, and a small sketch of the
+   set that drops most pairs out of reach where they meet. Only the pairs left are
    expanded to their members, and members of different components verified: no link between
    components is lost, and pairs inside one component change nothing.
 
@@ -52,11 +53,13 @@ from hazeline.scratch import discard, new_dir
 CLASS_BITS = 22
 CROWDED = 4.0  # times the mean count of a class
 SKETCH = 128
+COARSE = 64  # classes of the small sketch that prefix rows carry, four bits each
 ORDERS = 64
-NEIGHBOURS = (1, 3, 7)  # how far on, in each order
+NEIGHBOURS = (1, 2, 3, 7)  # how far on, in each order
 EARLIER = 4  # meeting shingles before its own that a row carries
 TASK_ROWS = 1_000_000  # prefix shingles to a task
 _LAST = np.uint64(1) << np.uint64(63)
+_NO_BOUND = b"\xff" * (COARSE // 2)  # in place of a small sketch: counts that don't fit, or several sets
 
 
 def _stored(df: DataFrame, label: str, paths: list[str]) -> DataFrame:
@@ -119,26 +122,31 @@ def described(docs: DataFrame, words: int, percent: int, crowded: np.ndarray) ->
                 last = table[(codes >> np.uint64(63 - CLASS_BITS)).astype(np.int64)]
                 codes, sizes = distinct(np.where(last, codes | _LAST, codes), sizes)
                 ends = np.cumsum(sizes)
-                columns: list[list] = [[] for _ in range(7)]
+                columns: list[list] = [[] for _ in range(8)]
                 for n, end in zip(sizes.tolist(), ends.tolist()):
                     own = codes[end - n : end]
                     prefix = own[: n - -(-percent * n // 100) + 1] if n else own
                     sketch = np.bincount((own & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
                     # A byte for each count where all fit, else four.
                     kind = "<u1" if sketch.max(initial=0) < 256 else "<u4"
-                    row = (n, *_key(own), *_key(prefix), prefix.tobytes(), sketch.astype(kind).tobytes())
+                    coarse = sketch.reshape(-1, COARSE).sum(axis=0)
+                    row = (
+                        n, *_key(own), *_key(prefix), prefix.tobytes(), sketch.astype(kind).tobytes(),
+                        (coarse[0::2] | coarse[1::2] << 4).astype("<u1").tobytes() if coarse.max() < 15 else _NO_BOUND,
+                    )
                     for column, value in zip(columns, row):
                         column.append(value)
-                kinds = [pa.int64()] * 5 + [pa.binary()] * 2
+                kinds = [pa.int64()] * 5 + [pa.binary()] * 3
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(start, len(sizes))]
                     + [pa.array(c, k) for c, k in zip(columns, kinds)],
-                    names=["doc_id", "n", "set_a", "set_b", "pre_a", "pre_b", "prefix", "sketch"],
+                    names=["doc_id", "n", "set_a", "set_b", "pre_a", "pre_b", "prefix", "sketch", "coarse"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
         released(run),
-        "doc_id long, n long, set_a long, set_b long, pre_a long, pre_b long, prefix binary, sketch binary",
+        "doc_id long, n long, set_a long, set_b long, pre_a long, pre_b long, prefix binary, sketch binary, "
+        "coarse binary",
     )
 
 
@@ -244,15 +252,27 @@ def _shared_earlier(earlier: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.nda
     return out
 
 
+def _most_shared(coarse: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Upper bounds of overlaps, from the small sketches of two rows."""
+    out = np.empty(len(i), np.int64)
+    for low in range(0, len(i), 50_000):
+        one, two = coarse[i[low : low + 50_000]], coarse[j[low : low + 50_000]]
+        shared = np.minimum(one & 15, two & 15) + np.minimum(one >> 4, two >> 4)
+        out[low : low + 50_000] = shared.sum(axis=1, dtype=np.int64)
+    return out
+
+
 def crossing_groups(rows: DataFrame, percent: int, parts: int) -> DataFrame:
     """All pairs of groups that meet and whose members are not all of one component; rows have
-    the least and the greatest component of the group, `low` and `high`, and `earlier`."""
+    the least and the greatest component of the group, `low` and `high`, `earlier` and `coarse`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["token", "gid", "n", "place", "low", "high", *(f"e{k}" for k in range(EARLIER))]
+        names = ["token", "gid", "n", "place", "low", "high", "coarse", *(f"e{k}" for k in range(EARLIER))]
         columns, begins = _runs(batches, names)
         _, gid, n, place, least, greatest = columns[:6]
-        earlier = np.stack(columns[6:], axis=1)
+        coarse = np.frombuffer(b"".join(columns[6].tolist()), "<u1").reshape(-1, COARSE // 2)
+        free = (coarse == 255).all(axis=1)
+        earlier = np.stack(columns[7:], axis=1)
         n, place = n.astype(np.int64), place.astype(np.int64)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
@@ -269,6 +289,8 @@ def crossing_groups(rows: DataFrame, percent: int, parts: int) -> DataFrame:
                 i, j = (x[ok] for x in np.broadcast_arrays(i, j))
                 ok = _near(n[i], place[i], n[j], place[j], percent)
                 i, j = i[ok], j[ok]
+                ok = free[i] | free[j] | (_most_shared(coarse, i, j) >= least_overlap(n[i], n[j], percent))
+                i, j = i[ok], j[ok]
                 first = ~_shared_earlier(earlier, i, j)
                 held.append((gid[i[first]], gid[j[first]]))
                 count += len(held[-1][0])
@@ -283,7 +305,7 @@ def crossing_groups(rows: DataFrame, percent: int, parts: int) -> DataFrame:
         F.coalesce(F.get("earlier", F.lit(k)).bitwiseAND(F.lit((1 << 63) - 1)), F.lit(-1).cast("bigint")).alias(f"e{k}")
         for k in range(EARLIER)
     ]
-    flat = rows.select("token", "gid", "n", "place", "low", "high", *carried)
+    flat = rows.select("token", "gid", "n", "place", "low", "high", "coarse", *carried)
     return flat.repartition(parts, "token").mapInArrow(released(run), "a long, b long").distinct()
 
 
@@ -377,7 +399,7 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     )
     own = ["doc_id", "set_a", "set_b"]
     kept = full.join(members.select(F.col("rep").alias("doc_id"), "gid", "set_a", "set_b"), own)
-    sketches = _stored(kept.select(F.col("doc_id").alias("rep"), "n", "sketch").distinct(), "sketches", paths)
+    sketches = _stored(kept.select(F.col("doc_id").alias("rep"), "n", "sketch", "coarse").distinct(), "sketches", paths)
     heads = kept.filter("doc_id = gid").dropDuplicates(own)
     # A task gathers the rows of its shingles: as many tasks as keep them few.
     meeting = full.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
@@ -404,13 +426,15 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     labelled = members.select("gid", "rep", "n", "token").join(near.withColumnRenamed("gid", "rep"), "rep", "left").select(
         "gid", "rep", "n", "token", F.coalesce("label", "rep").alias("label")
     )
-    spans = labelled.groupBy("gid").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), (F.min("token") < F.max("token")).alias("mixed")
+    of_groups = labelled.join(sketches, ["rep", "n"])
+    # The small sketch speaks for a group of one set only.
+    spans = of_groups.groupBy("gid").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), (F.min("token") < F.max("token")).alias("mixed"),
+        F.when(F.count(F.lit(1)) == 1, F.max("coarse")).otherwise(F.lit(_NO_BOUND)).alias("coarse"),
     )
     groups = crossing_groups(with_earlier(rows.join(spans, "gid")), percent, parts)
     # Members of a group meet at the group itself.
     torn = spans.filter("low <> high").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
-    of_groups = labelled.join(sketches, ["rep", "n"]).select("gid", "rep", "label", "n", "sketch")
     crossing = _promising(groups.union(torn), of_groups, percent).join(first_pairs, ["a", "b"], "left_anti")
     second = links_of(crossing)
     same_set = full.join(classes.select("set_a", "set_b", "n", "rep"), ["set_a", "set_b", "n"]).filter(
