@@ -10,7 +10,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from hazeline.llm import impact_index, importance, queries, whitening
 from hazeline.scratch import new_dir
