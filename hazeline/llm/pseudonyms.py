@@ -4,13 +4,17 @@ Matches of a known shape are validated (check digit, octets, calendar) and repla
 keyed permutation of their own format: a Feistel network over the digits, with SHA-256 of key,
 round and half as round function. Equal values get equal pseudonyms in every document, and
 different values of a format never meet. Separators, country codes and number of digits stay.
-Cards keep a right check digit; dates run over the 400 Gregorian years from 1800, a domain of
-189 * 773 days, so no value has to be walked back into range. Mail addresses have no number
-format; both halves become keyed digests.
+Cards keep a right check digit; numbers of social security stay outside areas 000 and 666, group 00
+and serial 0000. Dates run over the 400 Gregorian years from 1800, a domain of 189 * 773 days, so
+no value has to be walked back into range. A slash date is read day first; one that can only be
+month first (its day is above 12) is a format of its own, permuted among the 9 * 9833 such days, so
+no two texts share a pseudonym. Mail addresses have no number format; both halves become keyed
+digests.
 
 Built-in functions only: a scan and one projection. Defined results: a null text stays null
 and an empty one empty, with no finds; text around the matches is untouched; all other
-columns pass through.
+columns pass through, whatever they hold; repeated rows give repeated rows and an empty table an
+empty one.
 """
 
 from __future__ import annotations
@@ -18,14 +22,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.bind import bind
-from hazeline.llm.matches import located, replaced
+from hazeline.llm.bind import bind, free_name
+from hazeline.llm.matches import located, pieces, rejoined, replaced, spans_of
 
 ROUNDS = 8
-EPOCH, YEARS_DAYS, SMALL, LARGE = "1800-01-01", 146_097, 189, 773
+EPOCH, SMALL, LARGE = "1800-01-01", 189, 773
+# Days above the 12th of a month, in the 4,800 months from the epoch: 9 * 9833.
+LATE_SMALL, LATE_LARGE, MONTHS = 9, 9833, 4800
+AREAS, GROUPS, SERIALS = 998, 99, 9999
 
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}",  # a name has at most 127 labels
     "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
     r"|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}(?![0-9])"
     r"|(?<![0-9A-Za-z.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9]|[.-][0-9])",
@@ -167,21 +174,76 @@ def _day(text: Column) -> Column:
     )
 
 
-def _date(text: Column, key: str) -> Column:
-    number = F.date_diff(_day(text), F.lit(EPOCH).cast("date")).cast("bigint")
+def _month_first(text: Column) -> Column:
+    """Whether a slash date can't be read day first."""
+    return F.try_to_date(F.when(text.like("__/__/____"), text), "dd/MM/yyyy").isNull() & text.contains("/")
+
+
+def _any_day(day: Column, key: str) -> Column:
+    """Another of the days from 1800 to 2199."""
+    epoch = F.lit(EPOCH).cast("date")
     moved = bind(
-        number,
+        F.date_diff(day, epoch).cast("bigint"),
         lambda n: feistel(
             key, F.lit("date"), n % SMALL, F.floor(n / SMALL), F.lit(SMALL), F.lit(LARGE)
         ),
     )
-    day = bind(moved, lambda m: F.date_add(F.lit(EPOCH).cast("date"), (m["r"] * SMALL + m["l"]).cast("int")))
-    european = F.try_to_date(F.when(text.like("__/__/____"), text), "dd/MM/yyyy").isNotNull()
+    return bind(moved, lambda m: F.date_add(epoch, (m["r"] * SMALL + m["l"]).cast("int")))
+
+
+def _late_day(day: Column, key: str) -> Column:
+    """Another of the days from 1800 to 2199 that lie after the 12th of their month."""
+    epoch = F.lit(EPOCH).cast("date")
+
+    def before(month: Column) -> Column:
+        # Such days in the months before this one, counted from the epoch.
+        return F.date_diff(F.add_months(epoch, month), epoch) - month * 12
+
+    month = (F.year(day) - 1800) * 12 + F.month(day) - 1
+    moved = bind(
+        (before(month) + F.dayofmonth(day) - 13).cast("bigint"),
+        lambda n: feistel(
+            key, F.lit("late date"), n % LATE_SMALL, F.floor(n / LATE_SMALL), F.lit(LATE_SMALL), F.lit(LATE_LARGE)
+        ),
+    )
+
+    def named(n: Column) -> Column:
+        # Months are so alike that the mean finds the right one or a neighbour.
+        guess = F.floor(n * MONTHS / (LATE_SMALL * LATE_LARGE)).cast("int")
+        near = [F.least(F.greatest(guess + step, F.lit(0)), F.lit(MONTHS - 1)) for step in (-1, 0, 1)]
+        found = F.array_max(F.filter(F.array(*near), lambda m: before(m) <= n))
+        return bind(found, lambda m: F.date_add(F.add_months(epoch, m), (n - before(m) + 12).cast("int")))
+
+    return bind(bind(moved, lambda m: (m["r"] * LATE_SMALL + m["l"]).cast("int")), named)
+
+
+def _date(text: Column, key: str) -> Column:
+    return bind(
+        _day(text),
+        lambda day: F.when(text.contains("-"), F.date_format(_any_day(day, key), "yyyy-MM-dd"))
+        .when(_month_first(text), F.date_format(_late_day(day, key), "MM/dd/yyyy"))
+        .otherwise(F.date_format(_any_day(day, key), "dd/MM/yyyy")),
+    )
+
+
+def _ssn(text: Column, key: str) -> Column:
+    area, group, serial = (F.split_part(text, F.lit("-"), F.lit(n)).cast("bigint") for n in (1, 2, 3))
+    place = area - 1 - F.when(area > 666, 1).otherwise(0)
+    halves = feistel(
+        key, F.lit("ssn"), place, (group - 1) * SERIALS + serial - 1, F.lit(AREAS), F.lit(GROUPS * SERIALS)
+    )
+
+    def padded(number: Column, width: int) -> Column:
+        return F.lpad(number.cast("bigint").cast("string"), width, "0")
+
     return bind(
-        day,
-        lambda d: F.when(text.contains("-"), F.date_format(d, "yyyy-MM-dd"))
-        .when(european, F.date_format(d, "dd/MM/yyyy"))
-        .otherwise(F.date_format(d, "MM/dd/yyyy")),
+        halves,
+        lambda h: F.concat_ws(
+            "-",
+            padded(h["l"] + 1 + F.when(h["l"] >= 665, 1).otherwise(0), 3),
+            padded(F.floor(h["r"] / SERIALS) + 1, 2),
+            padded(h["r"] % SERIALS + 1, 4),
+        ),
     )
 
 
@@ -222,7 +284,7 @@ def pseudonym(text: Column, key: str) -> Column:
         return (
             F.when(kind == "email", _email(text, key))
             .when(kind == "date", _date(text, key))
-            .when(kind == "ssn", bind(_digits(text), lambda d: _refilled(text, permuted_digits(d, key, "ssn"))))
+            .when(kind == "ssn", _ssn(text, key))
             .when(kind == "ip", _ip(text, key))
             .when(kind == "card", _card(text, key))
             .when(kind == "phone", _phone(text, key))
@@ -232,24 +294,47 @@ def pseudonym(text: Column, key: str) -> Column:
     return bind(kind_of(text), of)
 
 
-def found(text: Column) -> Column:
-    """array<struct<kind, start, end>> of the validated matches."""
+def _kinds(matches: Column) -> Column:
     return F.filter(
         F.transform(
-            located(text, ANY),
+            matches,
             lambda m: F.struct(kind_of(m["text"]).alias("kind"), m["start"].alias("start"), m["end"].alias("end")),
         ),
         lambda m: m["kind"].isNotNull(),
     )
 
 
+def found(text: Column) -> Column:
+    """array<struct<kind, start, end>> of the validated matches."""
+    return _kinds(located(text, ANY))
+
+
+def treated(text: Column, key: str) -> Column:
+    """struct<text, found>: the protected text and the matches that were in it, in one pass."""
+
+    def both(x: Column) -> Column:
+        return F.struct(
+            rejoined(x, lambda match: pseudonym(match, key)).alias("text"), _kinds(spans_of(x)).alias("found")
+        )
+
+    nothing = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    untouched = F.struct(text.alias("text"), nothing.alias("found"))
+    return F.when(text.rlike(ANY), bind(pieces(text, ANY), both)).otherwise(untouched)
+
+
 def protected(text: Column, key: str) -> Column:
     return replaced(text, ANY, lambda match: pseudonym(match, key))
 
 
-def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
-    """The same rows and columns, the text protected and `n_chars`, where present, brought up."""
-    out = docs.withColumn("text", protected(F.col("text"), key))
+def pseudonymised(docs: DataFrame, key: str, found_as: str | None = None) -> DataFrame:
+    """The same rows and columns, the text protected and `n_chars`, where present, brought up;
+    `found_as` names a further column for the matches."""
+    if found_as is None:
+        out = docs.withColumn("text", protected(F.col("text"), key))
+    else:
+        whole = free_name(docs, "_treated")
+        both = docs.withColumn(whole, treated(F.col("text"), key))
+        out = both.withColumn("text", F.col(f"{whole}.text")).withColumn(found_as, F.col(f"{whole}.found")).drop(whole)
     if "n_chars" in docs.columns:
         # The text is a heavy expression: counting in a second projection keeps it single.
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

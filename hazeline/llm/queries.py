@@ -122,13 +122,12 @@ def op6_differencing_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    counted = docs.withColumn("_found", pseudonyms.found(F.col("text")))
 
     def number(kind: str) -> Column:
         return F.size(F.filter("_found", lambda m: m["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
     kinds = [number(kind) for kind in pseudonyms.KINDS]
-    return pseudonyms.pseudonymised(counted, KEY).select(*docs.columns, *kinds)
+    return pseudonyms.pseudonymised(docs, KEY, found_as="_found").select(*docs.columns, *kinds)
 
 
 def op8_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
