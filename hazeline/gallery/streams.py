@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hazeline.gallery.adapters import M_SQL, SPLIT_SQL, events, records, split, to_records
+from hazeline.gallery.adapters import M_SQL, SPLIT_SQL, corrected, events, records, split, to_records
 from hazeline.gallery.basics import rounded_summary
+from hazeline.gallery.incremental import _KEPT_LAST
 from hazeline.gallery.registered import registered
+from hazeline.plans import rollups
 from hazeline.plans.warehouse import read_warehouse
 from hazeline.schemas import MEASUREMENT
 from hazeline.scratch import new_dir
@@ -53,3 +56,22 @@ def stream_tumbling_3h(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = windows.schema
     ingest.drain_to_files(windows, path, checkpoint)
     return rounded_summary(spark.read.schema(schema).orc(path))
+
+
+@registered(
+    f"""WITH {SPLIT_SQL}
+SELECT "locationId", parameter, time_bucket(INTERVAL '3 hours', utc) AS window_start, count(*) AS readings,
+  round(sum(value), 2) AS total, max(value) AS greatest, max(utc) AS newest
+FROM ({_KEPT_LAST}) GROUP BY ALL"""
+)
+def stream_corrected_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows kept by a stream; a later file corrects the last stored day and adds newer ones."""
+    landing, warehouse, windows = (new_dir(spark, name) for name in ("landing", "warehouse", "windows"))
+    staging, checkpoint = new_dir(spark, "staging"), new_dir(spark, "stream")
+    stored, batch = split(events(spark, sf_dir), "ts")
+    for drop in (stored, corrected(batch)):
+        to_records(drop).write.mode("append").json(landing)
+        stream = ingest.record_stream(spark, landing, array_files=False)
+        ingest.corrected_windows(stream, warehouse, windows, staging, checkpoint).awaitTermination()
+    state = rollups.read_state(spark, windows)
+    return state.withColumn("total", F.round("total", 2)).drop("valued", "utc_date")

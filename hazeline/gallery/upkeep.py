@@ -25,11 +25,11 @@ from hazeline.gallery.adapters import (
 )
 from hazeline.gallery.incremental import _KEPT_LAST
 from hazeline.gallery.registered import registered
-from hazeline.operators import aggregates, gaps, registry
-from hazeline.plans import rollups, snapshots
+from hazeline.operators import aggregates, gaps, history, registry
+from hazeline.plans import replay, rollups, snapshots
 from hazeline.plans import warehouse as wh
 from hazeline.plans.cycle import owed, read_quarantine, run_daily
-from hazeline.plans.publish import latest_extract
+from hazeline.plans.publish import latest_extract, read_published_days
 from hazeline.schemas import DAY, MEASUREMENT
 from hazeline.scratch import new_dir
 from hazeline.sources import files, landing
@@ -253,3 +253,76 @@ def publish_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         for number, root in enumerate(roots, start=1)
     ]
     return copies[0].union(copies[1])
+
+
+@registered(f"WITH {SPLIT_SQL} {_KEPT_LAST}")
+def daily_run_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily runs that publish the days they touched; the last day is fetched again."""
+    rows = events(spark, sf_dir)
+    stored, batch = split(rows, "ts")
+    runs = _Runs(spark, rows)
+    for drop in (stored, corrected(batch)):
+        runs.land(drop)
+        run_daily(
+            spark, runs.tree, runs.warehouse, runs.quarantine, [runs.latest], as_of=runs.as_of,
+            bootstrap_start=runs.start, ledger=runs.ledger, by_day=True,
+        )
+    return read_published_days(spark, runs.latest).drop(DAY)
+
+
+_HISTORY_SQL = """h AS (
+  SELECT DISTINCT "locationId", parameter, 'first' AS label, CAST(NULL AS VARCHAR) AS note,
+    (SELECT CAST(min(utc) AS DATE) + 1 FROM m)::TIMESTAMP AS valid_from FROM m WHERE "locationId" % 5 <> 4
+  UNION ALL
+  SELECT "locationId", parameter, 'from row ' || CAST(value AS INTEGER), parameter, utc FROM m WHERE event_no % 7 = 0
+)"""
+
+
+@registered(
+    f"""WITH m AS (
+  SELECT event_id AS event_no, user_id AS "locationId", ts AS utc, event_type AS parameter, round(value) AS value FROM events
+), {_HISTORY_SQL}, v AS (
+  SELECT "locationId", parameter, valid_from, max((label, note)) AS one FROM h GROUP BY ALL
+)
+SELECT m.*, (one)[1] AS label, (one)[2] AS note FROM m ASOF LEFT JOIN v
+  ON m."locationId" = v."locationId" AND m.parameter = v.parameter AND m.utc >= v.valid_from"""
+)
+def enrich_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensors that change their label: at a day's begin and at a seventh of their own readings."""
+    rows = events(spark, sf_dir).select(
+        F.col("event_id").alias("event_no"), F.col("user_id").alias("locationId"), F.col("ts").alias("utc"),
+        F.col("event_type").alias("parameter"), F.round("value").alias("value"),
+    )
+    start = aggregates.scalar(rows.agg(F.min("utc").cast("date"))) + timedelta(days=1)
+    sensors = rows.filter(F.col("locationId") % 5 != 4).select("locationId", "parameter").distinct()
+    begun = sensors.select(
+        "*", F.lit("first").alias("label"), F.lit(None).cast("string").alias("note"),
+        F.lit(start).cast("timestamp_ntz").alias("valid_from"),
+    )
+    changed = rows.filter(F.col("event_no") % 7 == 0).select(
+        "locationId", "parameter",
+        F.concat(F.lit("from row "), F.col("value").cast("int").cast("string")).alias("label"),
+        F.col("parameter").alias("note"), F.col("utc").alias("valid_from"),
+    )
+    return history.enrich_as_of(rows, begun.unionByName(changed))
+
+
+@registered(
+    f"""WITH {M_SQL}, bad AS (SELECT * FROM m WHERE "locationId" % 7 = 3)
+SELECT "locationId", utc, parameter, value, (SELECT count(*) FROM bad) AS resolved FROM m"""
+)
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values with a decimal comma are set aside, repaired and loaded; a second replay finds none."""
+    rows = events(spark, sf_dir)
+    runs = _Runs(spark, rows)
+    text = F.col("value").cast("string")
+    spoilt = F.when(F.col("locationId") % 7 == 3, F.replace(text, F.lit("."), F.lit(","))).otherwise(text)
+    landing.write_landing(dated_records(rows).withColumn("value", spoilt), runs.tree, "day", _LEVELS)
+    runs.run()
+    resolved = new_dir(spark, "resolved")
+    repairs = {"value": F.replace("value", F.lit(","), F.lit("."))}
+    count = replay.replay(spark, runs.quarantine, resolved, runs.warehouse, repairs)
+    if replay.replay(spark, runs.quarantine, resolved, runs.warehouse, repairs):
+        raise RuntimeError("resolved rows are loaded again")
+    stored = wh.read_warehouse(spark, runs.warehouse).drop(DAY)
+    return stored.withColumn("resolved", F.lit(count).cast("bigint"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from hazeline.operators.registry import one_row_each
 from hazeline.plans import ledger as books
 from hazeline.plans.fetch import daily_plan, fetch_start, with_requests
-from hazeline.plans.publish import latest_extract, publish_copies
-from hazeline.plans.warehouse import append_new, read_warehouse, resume_date, upsert
+from hazeline.plans.publish import latest_extract, publish_copies, publish_touched
+from hazeline.plans.warehouse import append_new, read_warehouse, resume_date, touched, upsert
 from hazeline.schemas import QUARANTINE
 from hazeline.scratch import discard, exists, new_dir
 from hazeline.sources.files import read_orc
@@ -79,10 +79,20 @@ def build_latest(
     publish_copies(latest_extract(read_warehouse(spark, warehouse), as_of, years), targets)
 
 
-def _load(spark: SparkSession, landing: str | Sequence[str], warehouse: str, quarantine: str, array_files: bool | None) -> None:
-    """One load, and its bad rows to a folder that a repeated load replaces."""
+def _load(
+    spark: SparkSession,
+    landing: str | Sequence[str],
+    warehouse: str,
+    quarantine: str,
+    array_files: bool | None,
+    publish: Callable[[DataFrame | None], None] | None = None,
+) -> None:
+    """One load, and its bad rows to a folder that a repeated load replaces; `publish` gets the
+    stored rows of the days it touched."""
     staged = ingest(spark, landing, warehouse, array_files=array_files)
     bad_rows(staged.rows).write.mode("overwrite").orc(quarantine)
+    if publish is not None:
+        publish(touched(read_warehouse(spark, warehouse), ordered_rows(staged.rows)))
     discard(spark, staged.path)
 
 
@@ -98,9 +108,13 @@ def load_new_files(
     array_files: bool | None = None,
     load_bytes: int = books.LOAD_BYTES,
     load_files: int = books.LOAD_FILES,
+    publish: Callable[[DataFrame | None], None] | None = None,
 ) -> int:
     """Load every landing file that the ledger doesn't hold; returns the number of loads.
 
+    `publish` gets the stored rows of the days that a load touched, before its files are entered:
+    a run that dies in between loads and publishes them again.
+
     Files go in landing order, but a file that comes late counts as the newest fetch: its values
     replace stored ones. `start` limits how far back folders are listed; None lists them all.
     """
@@ -108,7 +122,7 @@ def load_new_files(
     done = 0
     for load in books.loads(new, load_bytes=load_bytes, load_files=load_files):
         folder = f"{quarantine}/loaded_from={load.first_day or end}/load={load.id}"
-        _load(spark, load.paths, warehouse, folder, array_files)
+        _load(spark, load.paths, warehouse, folder, array_files, publish)
         books.enter(spark, ledger, load)
         done += 1
     return done
@@ -127,6 +141,7 @@ def run_daily(
     days_per_load: int = 31,
     array_files: bool | None = None,
     ledger: str | None = None,
+    by_day: bool = False,
 ) -> int:
     """Load the landing folders up to `as_of`, then publish; returns the number of loads.
 
@@ -139,14 +154,26 @@ def run_daily(
     load replaces; a file set aside by two loads is listed by both. Arrays and lines may be mixed;
     `array_files` says that all files are of one kind. A landing root that is missing raises; the
     extract is published even when nothing is owed.
+
+    `by_day`, with a ledger, publishes day folders: a run writes the days it loaded rows of and
+    removes those that have left the range, instead of writing the whole extract.
     """
+    if by_day and ledger is None:
+        raise ValueError("publishing by day needs a ledger: it tells what was loaded and published")
+
+    def publish(rows: DataFrame | None) -> None:
+        stored = read_warehouse(spark, warehouse)
+        for target in targets:
+            publish_touched(stored, rows, target, as_of)
+
     if not exists(spark, landing):
         raise FileNotFoundError(landing)
     count = 0
     if ledger is not None:
         start = as_of - timedelta(days=lookback_days) if lookback_days else bootstrap_start
         count = load_new_files(
-            spark, landing, warehouse, quarantine, ledger, start=start, end=as_of, array_files=array_files
+            spark, landing, warehouse, quarantine, ledger, start=start, end=as_of, array_files=array_files,
+            publish=publish if by_day else None,
         )
     else:
         first = fetch_start(
@@ -157,7 +184,10 @@ def run_daily(
             folder = f"{quarantine}/loaded_from={first}/load=days"
             _load(spark, day_folders(landing, first, last), warehouse, folder, array_files)
             first, count = last, count + 1
-    build_latest(spark, warehouse, targets, as_of=as_of)
+    if by_day:
+        publish(None)
+    else:
+        build_latest(spark, warehouse, targets, as_of=as_of)
     return count
 
 

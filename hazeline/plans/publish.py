@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hazeline.functions.timestamps import year_bounds
 from hazeline.operators.filters import in_range, recent_years
 from hazeline.schemas import DAY, WAREHOUSE
-from hazeline.scratch import discard, subfolders
+from hazeline.scratch import discard, exists, mark, subfolders
 from hazeline.sources.files import CSV_OPTIONS, read_csv, write_csv
 from hazeline.sources.landing import read_or_empty
 
@@ -62,3 +62,21 @@ def publish_days(rows: DataFrame, path: str, as_of: date, years: int = 2) -> Non
 def read_published_days(spark: SparkSession, path: str) -> DataFrame:
     """The extract by day folders."""
     return read_or_empty(lambda: read_csv(spark, path, WAREHOUSE, header=True), spark, WAREHOUSE)
+
+
+# Stands in a target once every stored day was published there; readers pass over it.
+WHOLE = "_published"
+
+
+def publish_touched(stored: DataFrame, touched: DataFrame | None, path: str, as_of: date, years: int = 2) -> None:
+    """Publish the touched days; all stored ones where the target was never published whole.
+
+    `touched` are the stored rows of those days, None where there are none; then only days that
+    have left the range go.
+    """
+    spark = stored.sparkSession
+    if not exists(spark, f"{path}/{WHOLE}"):
+        publish_days(stored, path, as_of, years)
+        mark(spark, f"{path}/{WHOLE}")
+    else:
+        publish_days(stored.limit(0) if touched is None else touched, path, as_of, years)

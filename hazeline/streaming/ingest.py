@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hazeline.operators.aggregates import reading_summary, tumbling
-from hazeline.plans.warehouse import append_new
+from hazeline.plans.rollups import refresh
+from hazeline.plans.warehouse import append_new, upsert
 from hazeline.schemas import CORRUPT, KEY, LANDED
 from hazeline.scratch import discard
 from hazeline.session import settings
@@ -83,6 +84,34 @@ def ingest_stream(
     )
 
 
+def corrected_windows(
+    records: DataFrame, warehouse: str, windows: str, staging: str, checkpoint: str
+) -> StreamingQuery:
+    """Drain the files that are there; a later file's value replaces the stored one, and the 3-hour
+    windows (see `rollups`) of the days it touches are brought up, however late it is.
+
+    No watermark: windows are state in a table, so none is ever closed, and what a micro-batch
+    costs is the days it touches. A micro-batch that is repeated after a failure stages to the
+    same path, loads the same values and writes the same windows.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        path = f"{staging}/batch={batch_id}"
+        stage(batch, path)
+        rows = ordered_rows(read_staged(spark, path))
+        upsert(rows, warehouse)
+        refresh(spark, warehouse, windows, rows)
+        discard(spark, f"{path}/outcome=good")
+
+    return (
+        records.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def first_per_key(measurements: DataFrame, delay: str) -> DataFrame:
     """One row per key among rows that arrive within `delay` of each other.
 
