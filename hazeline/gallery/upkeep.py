@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazeline.functions.paths import landing_day
 from hazeline.gallery.adapters import (
     M_SQL,
     REFERENCE_SQL,
@@ -26,6 +27,7 @@ from hazeline.gallery.adapters import (
 from hazeline.gallery.incremental import _KEPT_LAST
 from hazeline.gallery.registered import registered
 from hazeline.operators import aggregates, gaps, history, registry
+from hazeline.operators.filters import kept_by_age
 from hazeline.plans import replay, rollups, snapshots
 from hazeline.plans import warehouse as wh
 from hazeline.plans.cycle import owed, read_quarantine, run_daily
@@ -326,3 +328,81 @@ def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         raise RuntimeError("resolved rows are loaded again")
     stored = wh.read_warehouse(spark, runs.warehouse).drop(DAY)
     return stored.withColumn("resolved", F.lit(count).cast("bigint"))
+
+
+_SITES_SQL = """SELECT s_suppkey AS "locationId", 'zone' || s_nationkey AS parameter,
+  CAST(DATE '2024-01-28' + s_nationkey AS DATE) AS day FROM supplier"""
+
+
+def _sites(spark: SparkSession, sf_dir: str) -> str:
+    """A landing tree with a folder for each sensor and parameter: one for each supplier."""
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    sites = suppliers.select(
+        F.col("s_suppkey").alias("locationId"),
+        F.concat(F.lit("zone"), F.col("s_nationkey").cast("string")).alias("parameter"),
+        F.col("s_acctbal").alias("value"),
+        F.date_add(F.lit("2024-01-28").cast("date"), "s_nationkey").alias("day"),
+    )
+    path = new_dir(spark, "sites")
+    landing.write_landing(sites, path, "day")
+    return path
+
+
+@registered(_SITES_SQL)
+def landed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days, sensors and parameters that have landed, from the names of the files alone."""
+    cells = landing.landed_cells(spark, _sites(spark, sf_dir))
+    return cells.select("locationId", "parameter", "day")
+
+
+@registered(f"SELECT day, count(*) AS files, true AS filled FROM ({_SITES_SQL}) GROUP BY day")
+def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of each landing day, listed without opening any."""
+    found = landing.file_inventory(spark, _sites(spark, sf_dir), "*.json")
+    return found.groupBy(landing_day(F.col("path")).alias("day")).agg(
+        F.count(F.lit(1)).alias("files"), F.every(F.col("length") > 0).alias("filled")
+    )
+
+
+@registered(
+    f"""WITH {M_SQL}, d AS (SELECT CAST(max(utc) AS DATE) AS newest FROM m)
+SELECT max(utc) AS max_utc, newest AS mark,
+  (SELECT max(CAST(utc AS DATE)) FROM m, d WHERE CAST(utc AS DATE) <= newest - 3) AS resume
+FROM m, d GROUP BY newest"""
+)
+def stored_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the warehouse says of itself: newest instant, high-water mark, and the day that a run
+    three days earlier goes on from."""
+    rows = measurements(spark, sf_dir)
+    path = new_dir(spark, "warehouse")
+    wh.write_days(instants(rows), path)
+    newest = aggregates.as_of_date(rows, "utc")
+    return wh.newest_instant(spark, path, newest).select(
+        "max_utc",
+        F.lit(wh.high_water_date(spark, path, newest)).alias("mark"),
+        F.lit(wh.resume_date(spark, path, newest - timedelta(days=3))).alias("resume"),
+    )
+
+
+@registered(
+    """WITH m AS (
+  SELECT user_id AS "locationId", CASE WHEN event_id % 11 <> 0 THEN ts END AS utc, event_type AS parameter, value FROM events
+), d AS (SELECT CAST(max(utc) AS DATE) AS as_of FROM m)
+SELECT m.* FROM m, d WHERE utc IS NULL OR date_diff('day', CAST(utc AS DATE), as_of) <= 15"""
+)
+def rewrite_keeps_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV rewritten by age in place; rows whose time is missing stay."""
+    rows = events(spark, sf_dir).select(
+        F.col("user_id").alias("locationId"),
+        F.when(F.col("event_id") % 11 != 0, F.col("ts").cast("timestamp")).alias("utc"),
+        F.col("event_type").alias("parameter"),
+        "value",
+    )
+    path = new_dir(spark, "aged")
+    files.write_csv(rows, path, header=True)
+    as_of = aggregates.as_of_date(rows, "utc")
+    files.rewrite_csv(
+        spark, path, MEASUREMENT,
+        lambda stored: kept_by_age(stored, "utc", as_of, days=15, undated=True), header=True,
+    )
+    return files.read_csv(spark, path, MEASUREMENT, header=True)

@@ -63,9 +63,14 @@ def india_window(df: DataFrame, column: str, start: datetime, end: datetime) ->
     return in_range(df, column, start.replace(tzinfo=zone), end.replace(tzinfo=zone))
 
 
-def kept_by_age(df: DataFrame, column: str, as_of: date, days: int = RETENTION_DAYS) -> DataFrame:
-    """Rows at most `days` calendar days old on `as_of`."""
-    return in_range(df, column, days_before(as_of, days))
+def kept_by_age(
+    df: DataFrame, column: str, as_of: date, days: int = RETENTION_DAYS, *, undated: bool = False
+) -> DataFrame:
+    """Rows at most `days` calendar days old on `as_of`; with `undated` also those without a time,
+    which a table that is rewritten by this rule would lose otherwise."""
+    if not undated:
+        return in_range(df, column, days_before(as_of, days))
+    return df.filter(half_open(df, column, days_before(as_of, days)) | F.col(column).isNull())
 
 
 def expired_by_age(df: DataFrame, column: str, as_of: date, days: int = RETENTION_DAYS) -> DataFrame:
