@@ -334,17 +334,20 @@ _SITES_SQL = """SELECT s_suppkey AS "locationId", 'zone' || s_nationkey AS param
   CAST(DATE '2024-01-28' + s_nationkey AS DATE) AS day FROM supplier"""
 
 
-def _sites(spark: SparkSession, sf_dir: str) -> str:
-    """A landing tree with a folder for each sensor and parameter: one for each supplier."""
+def _site_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
-    sites = suppliers.select(
+    return suppliers.select(
         F.col("s_suppkey").alias("locationId"),
         F.concat(F.lit("zone"), F.col("s_nationkey").cast("string")).alias("parameter"),
         F.col("s_acctbal").alias("value"),
         F.date_add(F.lit("2024-01-28").cast("date"), "s_nationkey").alias("day"),
     )
+
+
+def _sites(spark: SparkSession, sf_dir: str) -> str:
+    """A landing tree with a folder for each sensor and parameter: one for each supplier."""
     path = new_dir(spark, "sites")
-    landing.write_landing(sites, path, "day")
+    landing.write_landing(_site_records(spark, sf_dir), path, "day")
     return path
 
 
@@ -406,3 +409,24 @@ def rewrite_keeps_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda stored: kept_by_age(stored, "utc", as_of, days=15, undated=True), header=True,
     )
     return files.read_csv(spark, path, MEASUREMENT, header=True)
+
+
+@registered(
+    f"""SELECT s.*, x.s_acctbal + 1 AS value,
+  strftime(day, '%Y/%m/%d/') || "locationId" || '/' || parameter || '.json' AS file
+FROM ({_SITES_SQL}) s JOIN supplier x ON x.s_suppkey = s."locationId" """
+)
+def landing_file_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each day, sensor and parameter, each fetched twice: the later values stand there."""
+    path = new_dir(spark, "files")
+    sites = _site_records(spark, sf_dir).withColumn("date", F.struct(F.lit("").alias("utc")))
+    for fetched in (sites, corrected(sites)):
+        landing.write_landing_files(fetched, path, "day")
+    found = landing.landed_records(spark, path)
+    return found.select(
+        F.col("locationId").cast("long").alias("locationId"),
+        "parameter",
+        landing_day(F.col("source_file")).alias("day"),
+        F.col("value").cast("double").alias("value"),
+        F.substring_index("source_file", "/", -5).alias("file"),
+    )

@@ -65,3 +65,14 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table once what it was staged for is committed."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def put_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file to its place, instead of one that may be there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    old, new = jvm_path(source), jvm_path(target)
+    system = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(new.getParent())
+    system.delete(new, False)
+    if not system.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from hazeline.functions.paths import day_parts, landing_day, tree_keys
 from hazeline.functions.timestamps import parse_instant, utc_day
 from hazeline.schemas import ARRIVED, CORRUPT, DAY, LANDED, RECORD, RECORD_OR_CORRUPT, STAGED, WAREHOUSE
+from hazeline.scratch import discard, new_dir, put_file
 from hazeline.session import settings
 from hazeline.sources.json_text import WHOLE_BYTES, read_any_records
 
@@ -193,6 +194,43 @@ def write_landing(
     )
 
 
+def write_landing_files(records: DataFrame, path: str, day: str) -> int:
+    """Records as yr/mnt/dy/locationId/parameter.json, a file of lines each; returns their number.
+
+    The layout that fetched results are saved in, for other tools that expect it. A file that is
+    there is replaced, as a re-fetch does. Records without day, sensor or parameter go to `none`,
+    where loads find and set them aside; characters that paths can't hold are escaped as Spark does.
+
+    Tasks write all files, one each, so the largest is one task's work. Then the driver moves them
+    one by one: for networks of some ten thousand files a call. `write_landing` has no such step.
+    A call that dies between has replaced some files whole and the others not; call it again.
+    """
+    spark = records.sparkSession
+    parts = day_parts(F.col(day))
+    parts["loc"] = F.col("locationId").cast("string")
+    parts["par"] = F.nullif(F.col("parameter"), F.lit(""))
+    levels = list(parts)
+    staged = new_dir(spark, "tree")
+    (
+        records.select(
+            *[name for name in records.columns if name != day],
+            *[F.coalesce(part, F.lit("none")).alias(name) for name, part in parts.items()],
+        )
+        .repartition(*levels)
+        .sortWithinPartitions(*levels)
+        .write.option("maxRecordsPerFile", 0)
+        .partitionBy(*levels)
+        .json(staged)
+    )
+    count = 0
+    for row in file_inventory(spark, staged, "part-*").select("path").toLocalIterator():
+        names = [level.split("=", 1)[1] for level in row.path.split("/")[-1 - len(levels):-1]]
+        put_file(spark, row.path, "/".join([path, *names]) + ".json")
+        count += 1
+    discard(spark, staged)
+    return count
+
+
 def parsed(records: DataFrame) -> DataFrame:
     """Records in the staged shape: canonical columns, and the reason a row is no good.
 

@@ -188,3 +188,28 @@ def test_a_file_read_twice_is_one_row_per_source(spark, tmp_path):
     good = landing.good_rows(staged(spark, root, tmp_path))
     assert good.count() == 3
     assert good.dropDuplicates().count() == 1
+
+
+def test_files_named_by_parameter_are_replaced(spark, tmp_path):
+    schema = "locationId long, parameter string, value double, date struct<utc: string>, day date"
+    day, utc = date(2024, 2, 3), "2024-02-03T06:30:00+00:00"
+    listed = [(8039, "pm25", float(i), (utc,), day) for i in range(500)]  # one file with nearly all
+    listed += [(8039, "pm1", None, (utc,), day), (1, "a/b:c", 1.0, (utc,), day), (None, "pm1", 2.0, (utc,), day)]
+    listed += [(1, None, 3.0, (utc,), None), (1, "", 4.0, (utc,), day)]
+    root = tmp_path / "data"
+    frame = spark.createDataFrame(listed, schema).repartition(7)
+    assert landing.write_landing_files(frame, str(root), "day") == 6
+    names = sorted(str(file.relative_to(root)) for file in root.rglob("*.json"))
+    assert names == [
+        "2024/02/03/1/a%2Fb%3Ac.json", "2024/02/03/1/none.json", "2024/02/03/8039/pm1.json",
+        "2024/02/03/8039/pm25.json", "2024/02/03/none/pm1.json", "none/none/none/1/none.json",
+    ]
+    found = landing.parsed(landing.landed_records(spark, str(root)))
+    assert found.count() == len(listed)
+    assert sorted(r.reason for r in found.filter("outcome = 'bad'").collect()) == ["key", "key"]
+    again = [(8039, "pm25", 7.0, (utc,), day)]
+    assert landing.write_landing_files(spark.createDataFrame(again, schema), str(root), "day") == 1
+    rows = landing.landed_records(spark, str(root / "2024/02/03/8039/pm25.json")).collect()
+    assert [r.value for r in rows] == ["7.0"]
+    assert landing.write_landing_files(spark.createDataFrame([], schema), str(root), "day") == 0
+    assert len(list(root.rglob("*.json"))) == 6
