@@ -12,6 +12,7 @@ from hazeline.functions.paths import level_key
 from hazeline.functions.timestamps import parse_instant, utc_day
 from hazeline.operators.aggregates import latest_per_key, scalar
 from hazeline.operators.filters import in_range
+from hazeline.operators.keysets import key_bitmap, perhaps_in, place_bits
 from hazeline.schemas import ARRIVED, DAY, KEY, MEASUREMENT, WAREHOUSE
 from hazeline.scratch import discard, exists, mark
 from hazeline.sources.files import read_orc
@@ -67,6 +68,38 @@ def touched(stored: DataFrame, batch: DataFrame) -> DataFrame | None:
     return stored.filter(F.col(DAY).between(first, last)).join(days, DAY, "left_semi")
 
 
+def stored_alike(stored: DataFrame, batch: DataFrame) -> DataFrame | None:
+    """The stored rows that may share a key with the batch; None for an empty batch.
+
+    Every stored row that does share one is there. The batch's ranges of day, instant and sensor
+    go to the scan, which passes over folders and, as files are sorted by sensor, most of a file.
+    A bitmap of the batch's keys then drops nearly all other rows where they are read, so what is
+    shuffled grows with the batch and not with the days it touches.
+    """
+    instant = F.unix_micros("utc")
+    first, last, earliest, latest, least, most, count = batch.agg(
+        F.min(DAY),
+        F.max(DAY),
+        F.min(instant),
+        F.max(instant),
+        F.min("locationId"),
+        F.max("locationId"),
+        F.count(F.lit(1)),
+    ).first()
+    if count == 0:
+        return None
+    near = stored
+    if first is not None:
+        near = near.filter(F.col(DAY).between(first, last) | F.col(DAY).isNull())
+    if earliest is not None:
+        from_time, to_time = (F.timestamp_micros(F.lit(micros)) for micros in (earliest, latest))
+        near = near.filter(F.col("utc").between(from_time, to_time) | F.col("utc").isNull())
+    if least is not None:
+        near = near.filter(F.col("locationId").between(least, most) | F.col("locationId").isNull())
+    bits = place_bits(count)
+    return perhaps_in(near, key_bitmap(batch, KEY, bits), KEY, bits)
+
+
 def matched(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored and batch rows brought together by key: one row per key with both values.
 
@@ -130,7 +163,7 @@ def append_new(batch: DataFrame, path: str) -> None:
     """
     spark = batch.sparkSession
     finish_swap(spark, path)
-    stored = touched(read_warehouse(spark, path), batch)
+    stored = stored_alike(read_warehouse(spark, path), batch)
     if stored is not None:
         write_days(new_rows(stored, one_per_key(batch, last=False)), path)
 
