@@ -20,6 +20,7 @@ from hazeline.gallery.adapters import (
 from hazeline.gallery.registered import registered
 from hazeline.operators import aggregates
 from hazeline.plans import warehouse as wh
+from hazeline.plans.clustering import compact_clustered
 from hazeline.plans.cycle import build_latest, ingest
 from hazeline.plans.publish import publish_days, read_published_days
 from hazeline.schemas import DAY, KEY, MEASUREMENT
@@ -133,6 +134,24 @@ def compact_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered(
+    f"""WITH {M_SQL}
+SELECT CAST(utc AS DATE) AS utc_date, "locationId", count(*) AS readings, round(sum(value), 2) AS total
+FROM m WHERE hour(utc) BETWEEN 6 AND 8 GROUP BY ALL"""
+)
+def compact_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours of sensors, read from days compacted along the curve."""
+    path = _loaded(spark, instants(measurements(spark, sf_dir)))
+    days = [row[0] for row in wh.day_files(spark, path).select(DAY).collect()]
+    compact_clustered(spark, path, days, target_bytes=64 << 10)
+    return (
+        wh.read_warehouse(spark, path)
+        .filter(F.hour("utc").between(6, 8))
+        .groupBy(DAY, "locationId")
+        .agg(F.count(F.lit(1)).alias("readings"), F.round(F.sum("value"), 2).alias("total"))
+    )
+
+
 @registered(f"WITH {SPLIT_SQL} {_KEPT_LAST}")
 def daily_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over landing files, the second re-fetching the last day, then the extract."""

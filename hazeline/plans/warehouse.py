@@ -15,6 +15,7 @@ from hazeline.operators.filters import in_range
 from hazeline.operators.keysets import key_bitmap, perhaps_in, place_bits
 from hazeline.schemas import ARRIVED, DAY, KEY, MEASUREMENT, WAREHOUSE
 from hazeline.scratch import discard, exists, mark
+from hazeline.session import settings
 from hazeline.sources.files import read_orc
 from hazeline.sources.landing import file_inventory
 
@@ -23,6 +24,8 @@ from hazeline.sources.landing import file_inventory
 SWAP = "_swap/staged"
 # Stands there once all of it is staged. A file of our own: not every cluster has Spark write one.
 READY = "_swap/ready"
+# Stands there where each staged file is to stay a file of its own.
+KEEP = "_swap/keep"
 COLUMNS = MEASUREMENT.names
 
 
@@ -195,7 +198,16 @@ def upsert(batch: DataFrame, path: str) -> None:
 def stage_swap(rows: DataFrame, path: str) -> None:
     """Write the new content of whole days to wait for its swap."""
     write_days(rows, f"{path}/{SWAP}", replace_all=True)
-    mark(rows.sparkSession, f"{path}/{READY}")
+    swap_ready(rows.sparkSession, path)
+
+
+def swap_ready(spark: SparkSession, path: str, *, keep_files: bool = False) -> None:
+    """All new content is staged: from now on the swap will be finished, whoever does it."""
+    if keep_files:
+        mark(spark, f"{path}/{KEEP}")
+    else:
+        discard(spark, f"{path}/{KEEP}")
+    mark(spark, f"{path}/{READY}")
 
 
 def finish_swap(spark: SparkSession, path: str) -> None:
@@ -208,16 +220,20 @@ def finish_swap(spark: SparkSession, path: str) -> None:
     """
     staged = f"{path}/{SWAP}"
     if exists(spark, f"{path}/{READY}"):
-        # The staged files are already laid out by day; they are copied as they are.
-        (
-            spark.read.schema(WAREHOUSE)
-            .orc(staged)
-            .sortWithinPartitions(DAY, *KEY)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DAY)
-            .orc(path)
-        )
+        # The staged files are already laid out by day; they are copied as they are. Small ones
+        # share a task, unless an opening is made to cost as much as a task's bytes.
+        per_task = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        alone = {"spark.sql.files.openCostInBytes": per_task} if exists(spark, f"{path}/{KEEP}") else {}
+        with settings(spark, **alone):
+            (
+                spark.read.schema(WAREHOUSE)
+                .orc(staged)
+                .sortWithinPartitions(DAY, *KEY)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(DAY)
+                .orc(path)
+            )
         # First the sign that it is complete, then the rest.
         discard(spark, f"{path}/{READY}")
     discard(spark, staged)
