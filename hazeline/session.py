@@ -51,3 +51,12 @@ def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+@contextmanager
+def listing(spark: SparkSession) -> Iterator[None]:
+    """While files are listed: a folder's subfolders are dealt to a few tasks a core, where Spark
+    starts a task for each of them."""
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    with settings(spark, **{"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)}):
+        yield

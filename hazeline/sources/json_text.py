@@ -10,6 +10,9 @@ sums over a file's ranges, of quotes first and then of depths, say how each rang
 record ends where depth comes back to zero; segments up to the same end are one record. Arrays,
 lines and lines of arrays are all read that way, since only braces count.
 
+A large file with one whole object on each of its lines needs none of that: a pass that shuffles
+a row per file tells such files, and they are read by lines.
+
 Where a fault breaks a large file's structure, the records before it are good and all that
 follows is set aside as one row, named by its first segment; a small file with such a fault is
 set aside whole. Blank files hold no rows.
@@ -24,11 +27,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazeline.scratch import new_dir
+from hazeline.session import listing
 
 WHOLE_BYTES = 64 << 20
 _BETWEEN = r"^[\s,\[\]\x{FEFF}]+"
 _ESCAPED = r"\\."
 _STRING = r'"[^"]*(?:"|$)'
+# An object with no more than objects in objects in it, strings taken out; without backtracking.
+_FLAT = r"\{[^{}]*+\}"
+_NESTED = rf"\{{[^{{}}]*+(?:{_FLAT}[^{{}}]*+)*+\}}"
+_ONE_OBJECT = rf"^\{{[^{{}}]*+(?:{_NESTED}[^{{}}]*+)*+\}}$"
+# Longer lines are passed over, so that an array on one line is no task's work; such files
+# then lack bytes and are not read by lines.
+LINE_BYTES = 16 << 20
+_BY_LINES = {"mapreduce.input.linerecordreader.line.maxlength": LINE_BYTES}
 
 
 def _count(text: Column, chars: str) -> Column:
@@ -66,6 +78,27 @@ def whole_pieces(texts: DataFrame) -> DataFrame:
     return texts.select(F.explode(lines).alias("piece"), "file", "modified").filter(~F.col("piece").rlike(r"^\s*$"))
 
 
+def line_files(texts: DataFrame) -> list[str]:
+    """Of files read by lines, those where every line is one whole object, or blank."""
+    bare = _outside(F.regexp_replace("value", _ESCAPED, ""))
+    # The ends tell most lines of an array apart, and cost little.
+    ends = F.col("value").startswith("{") & F.col("value").endswith("}")
+    whole = F.when(ends, bare.rlike(_ONE_OBJECT)).otherwise(F.col("value").rlike(r"^\s*$"))
+    told = texts.groupBy("file").agg(
+        F.every(whole).alias("whole"),
+        F.sum(F.octet_length("value") + 1).alias("bytes"),
+        F.max("size").alias("size"),
+    )
+    # The last line may go without its end.
+    found = told.filter(F.col("whole") & (F.col("bytes") - F.col("size")).between(0, 1))
+    return [row.file for row in found.select("file").collect()]
+
+
+def line_pieces(texts: DataFrame) -> DataFrame:
+    """piece, file, modified: the lines that are not blank."""
+    return texts.select(F.col("value").alias("piece"), "file", "modified").filter(~F.col("piece").rlike(r"^\s*$"))
+
+
 def segments(texts: DataFrame) -> DataFrame:
     """Each segment with its place, whether its quotes are odd, what it opens if it begins outside
     a string (opens_0) or inside (opens_1), and the like sums over its range up to it."""
@@ -201,10 +234,17 @@ def read_any_records(
     Each kind of file is listed for its own read, by its size, so a folder without large files
     costs no pass over segments.
     """
-    small = _texts(spark, path, glob, wholetext=True).filter(F.col("size") <= whole_bytes)
+    with listing(spark):
+        small = _texts(spark, path, glob, wholetext=True).filter(F.col("size") <= whole_bytes)
+        # Lines are cut at braces; files are opened only if they are large.
+        large = _texts(spark, path, glob, lineSep="}").filter(F.col("size") > whole_bytes)
     pieces = whole_pieces(small)
-    # Lines are cut at braces; files are opened only if they are large.
-    large = _texts(spark, path, glob, lineSep="}").filter(F.col("size") > whole_bytes)
-    if large.inputFiles() and not large.limit(1).isEmpty():
-        pieces = pieces.unionByName(split_pieces(large))
+    if not large.limit(1).isEmpty():
+        with listing(spark):
+            by_lines = _texts(spark, path, glob, **_BY_LINES).filter(F.col("size") > whole_bytes)
+        named = F.col("file").isin(line_files(by_lines))
+        pieces = pieces.unionByName(line_pieces(by_lines.filter(named)))
+        ragged = large.filter(~named)
+        if not ragged.limit(1).isEmpty():
+            pieces = pieces.unionByName(split_pieces(ragged))
     return parsed_pieces(pieces, schema, corrupt)

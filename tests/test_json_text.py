@@ -118,3 +118,38 @@ def test_fields_stay_text(spark, tmp_path):
     assert set(rows[0].asDict()) == {*LANDED.names, "source_file", "arrived"}
     assert rows[0]["date"] == "5" and json.loads(rows[0]["value"]) == {"a": 1}
     assert json.loads(rows[1]["date"])["utc"] == "2024-02-03T06:30:00+00:00"
+
+
+def test_large_files_of_lines_are_read_by_lines(spark, tmp_path, small_ranges, monkeypatch):
+    """Only other shapes, and lines with a fault, are cut at braces."""
+    records = _records(40)
+    cut = []
+    split = json_text.split_pieces
+    monkeypatch.setattr(json_text, "split_pieces", lambda texts: cut.extend(
+        row.file.split("/")[-2] for row in texts.select("file").distinct().collect()) or split(texts))
+    for shape, text in SHAPES.items():
+        write_file(tmp_path / shape.replace(" ", "_") / "a.json", text(records))
+    write_file(tmp_path / "no_end/a.json", SHAPES["lines"](records)[:-1])
+    write_file(tmp_path / "fault/a.json", SHAPES["lines"](records)[:-9])
+    write_file(tmp_path / "two/a.json", SHAPES["lines"](records).replace("}\n{", "} {", 1))
+    good, bad = _read(spark, tmp_path, 0)
+    assert len(good) == 40 * (len(SHAPES) - 1) + 1 + 40 + 39 + 40 and len(bad) == 1
+    assert sorted(cut) == ["fault", "lines_of_arrays", "no_escapes", "one_line", "one_object", "pretty", "two"]
+
+
+def test_long_lines_are_not_one_row(spark, tmp_path, small_ranges, monkeypatch):
+    monkeypatch.setitem(json_text._BY_LINES, "mapreduce.input.linerecordreader.line.maxlength", 2000)
+    records = _records(100)
+    write_file(tmp_path / "a.json", json.dumps(records))
+    write_file(tmp_path / "b.json", json.dumps(records[0] | {"unit": "x" * 5000}) + "\n" + json.dumps(records[1]))
+    texts = json_text._texts(spark, str(tmp_path), "*.json", **json_text._BY_LINES)
+    assert (texts.agg(F.max(F.length("value"))).first()[0] or 0) <= 2003
+    assert json_text.line_files(texts) == []
+    good, bad = _read(spark, tmp_path, 0)
+    assert len(good) == 102 and not bad
+
+
+def test_many_inner_objects_do_not_nest_the_matcher(spark):
+    line = '{"a": [' + ", ".join(['{"b": {"c": 1}}'] * 50_000) + "]}"
+    rows = spark.createDataFrame([(line,), (line + "}",), ("[" + line,), ('{"a": 1} {"a": 2}',)], "value string")
+    assert [r[0] for r in rows.select(F.col("value").rlike(json_text._ONE_OBJECT)).collect()] == [True, False, False, False]
