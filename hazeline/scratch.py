@@ -37,6 +37,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jvm_path)
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """An empty file that says something is done."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

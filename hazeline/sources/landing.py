@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 from hazeline.functions.paths import day_parts, landing_day, tree_keys
 from hazeline.functions.timestamps import parse_instant, utc_day
 from hazeline.schemas import ARRIVED, CORRUPT, DAY, LANDED, RECORD, RECORD_OR_CORRUPT, STAGED, WAREHOUSE
-from hazeline.scratch import discard, new_dir, put_file
-from hazeline.session import settings
+from hazeline.scratch import discard, make_folder, new_dir, put_file
+from hazeline.session import listing, settings
 from hazeline.sources.json_text import WHOLE_BYTES, read_any_records
+from hazeline.sources.named_files import put_text_files, uri_of
 
 # 2 ** 12 records per array keeps one array a few MB, whatever the data looks like.
 ARRAY_BITS = 12
@@ -177,8 +178,10 @@ def write_landing(
     The levels are extra columns, so the records in the files stay whole. Folders per sensor
     and parameter suit a small network; a large one keeps to the day levels, because the
     number of files is the number of folders at least. The rebalance brings a folder's rows
-    together and splits a folder that is too large for one task.
+    together and splits a folder that is too large for one task. Below the day a folder costs more
+    than its bytes, so there the rebalance keeps all its tasks, however few bytes each has.
     """
+    spark = records.sparkSession
     parts = day_parts(F.col(day))
     parts["loc"] = F.col("locationId").cast("string")
     parts["par"] = F.col("parameter")
@@ -186,12 +189,22 @@ def write_landing(
         *[name for name in records.columns if name != day],
         *[parts[name].alias(name) for name in levels],
     )
-    (
-        leveled.hint("rebalance", *[F.col(name) for name in levels])
-        .write.mode(mode)
-        .partitionBy(*levels)
-        .json(path)
-    )
+    if {"loc", "par"}.isdisjoint(levels):
+        leveled.hint("rebalance", *levels).write.mode(mode).partitionBy(*levels).json(path)
+        return
+    uri = uri_of(spark, path) if mode == "append" else None
+    with settings(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        if uri is None:
+            leveled.hint("rebalance", *levels).write.mode(mode).partitionBy(*levels).json(path)
+            return
+        none = F.lit("__HIVE_DEFAULT_PARTITION__")
+        named = {name: F.coalesce(F.nullif(parts[name], F.lit("")), none) for name in levels}
+        _put_lines(
+            _as_lines(records, day, {name: (f"{name}=", named[name]) for name in levels})
+            .hint("rebalance", *levels),
+            uri, levels, "/part-{part}-{job}.json",
+        )
+    make_folder(spark, path)
 
 
 def write_landing_files(records: DataFrame, path: str, day: str) -> int:
@@ -201,8 +214,9 @@ def write_landing_files(records: DataFrame, path: str, day: str) -> int:
     there is replaced, as a re-fetch does. Records without day, sensor or parameter go to `none`,
     where loads find and set them aside; characters that paths can't hold are escaped as Spark does.
 
-    Tasks write all files, one each, so the largest is one task's work. Then the driver moves them
-    one by one: for networks of some ten thousand files a call. `write_landing` has no such step.
+    Tasks write all files below the path, one each, so the largest is one task's work; then tasks
+    move them (see `named_files`). Where pyarrow doesn't know the file system the driver moves them
+    one by one, for networks of some ten thousand files a call.
     A call that dies between has replaced some files whole and the others not; call it again.
     """
     spark = records.sparkSession
@@ -210,13 +224,19 @@ def write_landing_files(records: DataFrame, path: str, day: str) -> int:
     parts["loc"] = F.col("locationId").cast("string")
     parts["par"] = F.nullif(F.col("parameter"), F.lit(""))
     levels = list(parts)
+    named = {name: F.coalesce(part, F.lit("none")) for name, part in parts.items()}
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    uri = uri_of(spark, path)
+    if uri is not None:
+        lines = _as_lines(records, day, {name: ("", named[name]) for name in levels})
+        return _put_lines(lines.repartition(tasks, *levels), uri, levels, ".json")
     staged = new_dir(spark, "tree")
     (
         records.select(
             *[name for name in records.columns if name != day],
-            *[F.coalesce(part, F.lit("none")).alias(name) for name, part in parts.items()],
+            *[part.alias(name) for name, part in named.items()],
         )
-        .repartition(*levels)
+        .repartition(tasks, *levels)
         .sortWithinPartitions(*levels)
         .write.option("maxRecordsPerFile", 0)
         .partitionBy(*levels)
@@ -231,6 +251,17 @@ def write_landing_files(records: DataFrame, path: str, day: str) -> int:
     return count
 
 
+def _as_lines(records: DataFrame, day: str, folders: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Records without their day as JSON lines, next to their folders as `named_files` takes them."""
+    parts = [F.concat(F.lit(f"{head}\0"), value).alias(name) for name, (head, value) in folders.items()]
+    kept = [name for name in records.columns if name != day]
+    return records.select(F.to_json(F.struct(*kept)).alias("line"), *parts)
+
+
+def _put_lines(lines: DataFrame, uri: str, levels: Sequence[str], ending: str) -> int:
+    return put_text_files(lines.sortWithinPartitions(*levels), uri, levels, ending)
+
+
 def parsed(records: DataFrame) -> DataFrame:
     """Records in the staged shape: canonical columns, and the reason a row is no good.
 
@@ -334,7 +365,8 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
     )
-    files = read_or_empty(lambda: reader.load(path), spark, schema)
+    with listing(spark):
+        files = read_or_empty(lambda: reader.load(path), spark, schema)
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hazeline.functions.paths import tree_keys
 from hazeline.operators.aggregates import parameter_catalogue
 from hazeline.schemas import RECORD
+from hazeline.scratch import put_file
 from hazeline.sources import landing
 from shapes import plain, record, write_file
 
@@ -213,3 +214,52 @@ def test_files_named_by_parameter_are_replaced(spark, tmp_path):
     assert [r.value for r in rows] == ["7.0"]
     assert landing.write_landing_files(spark.createDataFrame([], schema), str(root), "day") == 0
     assert len(list(root.rglob("*.json"))) == 6
+
+
+def test_folders_by_sensor_are_dealt_to_many_tasks(spark, tmp_path):
+    """Not even Spark's least partition, 1 MB, is filled: still more than one task writes."""
+    path = str(tmp_path / "tree")
+    rows = [(number, "pm1", 1.0, date(2024, 2, 3)) for number in range(400)] * 2
+    rows += [(None, "", None, date(2024, 2, 3)), (1, "a/b:c", 2.0, date(2024, 2, 4))]
+    frame = spark.createDataFrame(rows, "locationId long, parameter string, value double, day date")
+    landing.write_landing(frame, path, "day")
+    files = [str(file.relative_to(path)) for file in (tmp_path / "tree").rglob("*.json")]
+    assert len(files) == 402
+    assert len({name.rsplit("part-", 1)[1][:5] for name in files}) > 1
+    folders = {name.rsplit("/", 1)[0] for name in files}
+    assert "yr=2024/mnt=02/dy=03/loc=__HIVE_DEFAULT_PARTITION__/par=__HIVE_DEFAULT_PARTITION__" in folders
+    assert "yr=2024/mnt=02/dy=04/loc=1/par=a%2Fb%3Ac" in folders
+    read = spark.read.json(path, schema="locationId long, parameter string, value double")
+    assert sorted(map(str, read.select("locationId", "parameter", "value").collect())) == sorted(map(str, frame.drop("day").collect()))
+    landing.write_landing(frame, path, "day")
+    assert landing.read_records(spark, path, array_files=False).count() == 2 * len(rows)
+
+
+def test_a_file_that_hadoop_summed_is_replaced(spark, tmp_path):
+    root = str(tmp_path / "data")
+    day = date(2024, 2, 3)
+    schema = "locationId long, parameter string, value double, date struct<utc: string>, day date"
+    old = f"{root}/2024/02/03/1/pm1.json"
+    spark.range(3).select(F.to_json(F.struct("id")).alias("value")).coalesce(1).write.text(f"{root}/old")
+    part = next((tmp_path / "data/old").glob("part-*"))
+    put_file(spark, str(part), old)
+    assert (tmp_path / "data/2024/02/03/1/.pm1.json.crc").exists()
+    landing.write_landing_files(spark.createDataFrame([(1, "pm1", 5.0, ("x",), day)], schema), root, "day")
+    assert [r.value for r in landing.landed_records(spark, old).collect()] == ["5.0"]
+    assert not list((tmp_path / "data").glob("_staging*"))
+
+
+def test_files_are_moved_by_tasks(spark, tmp_path, monkeypatch):
+    schema = "locationId long, parameter string, value double, day date"
+    rows = spark.createDataFrame([(number, "pm1", 1.0, date(2024, 2, 3)) for number in range(50)], schema)
+    monkeypatch.setattr(landing, "put_file", lambda *_: pytest.fail("moved by the driver"))
+    assert landing.write_landing_files(rows, str(tmp_path / "data"), "day") == 50
+
+
+def test_an_unknown_file_system_is_written_by_spark(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "uri_of", lambda *_: None)
+    schema = "locationId long, parameter string, value double, day date"
+    rows = spark.createDataFrame([(number, "pm1", 1.0, date(2024, 2, 3)) for number in range(5)], schema)
+    assert landing.write_landing_files(rows, str(tmp_path / "data"), "day") == 5
+    landing.write_landing(rows, str(tmp_path / "tree"), "day")
+    assert landing.landed_records(spark, str(tmp_path / "tree")).count() == 5
