@@ -102,7 +102,7 @@ def arrays_and_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = records(spark, sf_dir).withColumn("kind", F.pmod("locationId", F.lit(3)))
     path = new_dir(spark, "mixed")
     kinds = [rows.filter(F.col("kind") == kind).drop("kind") for kind in range(3)]
-    landing.write_array_files(kinds[0].coalesce(1), f"{path}/large", bits=20)
+    landing.write_array_files(kinds[0], f"{path}/large", bits=20)
     landing.write_array_files(kinds[1], f"{path}/small", bits=6)
     kinds[2].write.json(f"{path}/lines")
     found = landing.parsed(landing.landed_records(spark, path, whole_bytes=64 << 10, glob="part-*"))

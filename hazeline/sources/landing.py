@@ -6,14 +6,14 @@ from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazeline.functions.paths import day_parts, landing_day, tree_keys
 from hazeline.functions.timestamps import parse_instant, utc_day
 from hazeline.schemas import ARRIVED, CORRUPT, DAY, LANDED, RECORD, RECORD_OR_CORRUPT, STAGED, WAREHOUSE
-from hazeline.scratch import discard, make_folder, new_dir, put_file
+from hazeline.scratch import discard, exists, make_folder, new_dir, put_file
 from hazeline.session import listing, settings
 from hazeline.sources.json_text import WHOLE_BYTES, read_any_records
 from hazeline.sources.named_files import put_text_files, uri_of
@@ -157,12 +157,44 @@ def bounded_arrays(records: DataFrame, bits: int = ARRAY_BITS) -> DataFrame:
 
 
 def write_array_files(records: DataFrame, path: str, bits: int = ARRAY_BITS) -> None:
-    """Pretty-printed JSON arrays, one array per file. No rows, no file."""
-    (
-        bounded_arrays(records, bits)
-        .select(F.to_json("records", {"pretty": "true"}).alias("value"))
-        .write.option("maxRecordsPerFile", 1)
-        .text(path)
+    """Pretty-printed JSON arrays, one array per file. No rows, no file.
+
+    Arrays of more than 2**ARRAY_BITS records are written record by record, so that no task holds
+    one; where pyarrow doesn't know the file system each of those has a folder of its own.
+    """
+    spark = records.sparkSession
+    uri = None if exists(spark, path) else uri_of(spark, path)
+    pretty = {"pretty": "true"}
+    if bits <= ARRAY_BITS:
+        arrays = bounded_arrays(records, bits).select(F.to_json("records", pretty).alias("line"))
+        number = F.monotonically_increasing_id().cast("string")
+        named = arrays.select("line", F.concat(F.lit("part-\0"), number).alias("array"))
+    else:
+        named = _long_arrays(records, bits, pretty)
+    # An array is one row of text, so fewer go to a task's Python at a time.
+    few = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(max(1, (1 << 16) >> bits))} if bits <= ARRAY_BITS else {}
+    with settings(spark, **few):
+        if uri is not None:
+            put_text_files(named, uri, ["array"], "-{job}.txt")
+            make_folder(spark, path)
+        elif bits <= ARRAY_BITS:
+            named.select("line").write.option("maxRecordsPerFile", 1).text(path)
+        else:
+            named.withColumn("array", F.substring_index("array", "\0", -1)).write.partitionBy("array").text(path)
+
+
+def _long_arrays(records: DataFrame, bits: int, pretty: dict[str, str]) -> DataFrame:
+    """Records as the lines of their arrays: each array in one task, in order, brackets at its ends."""
+    at = F.col("at")
+    placed = records.select(F.struct(*records.columns).alias("record"), F.monotonically_increasing_id().alias("at"))
+    packed = placed.withColumn("pack", F.shiftright(at, bits))
+    last = F.lead("at").over(Window.partitionBy("pack").orderBy("at")).isNull()
+    told = packed.withColumn("last", last).sortWithinPartitions("pack", "at")
+    opens = F.when(at.bitwiseAND(F.lit((1 << bits) - 1)) == 0, "[ ").otherwise(", ")
+    closes = F.when(F.col("last"), " ]").otherwise("")
+    return told.select(
+        F.concat(opens, F.to_json("record", pretty), closes).alias("line"),
+        F.concat(F.lit("part-\0"), F.col("pack").cast("string")).alias("array"),
     )
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from datetime import date
 
 import pytest
@@ -216,6 +217,21 @@ def test_files_named_by_parameter_are_replaced(spark, tmp_path):
     assert len(list(root.rglob("*.json"))) == 6
 
 
+def test_long_arrays_are_written_record_by_record(spark, tmp_path):
+    rows = [record(value=float(number)) for number in range(20_000)]
+    frame = spark.createDataFrame(rows, RECORD).repartition(3)
+    path = tmp_path / "arrays"
+    landing.write_array_files(frame, str(path), bits=13)
+    arrays = [json.loads(file.read_text(encoding="utf-8")) for file in path.glob("part-*")]
+    assert sum(map(len, arrays)) == 20_000 and 4096 < max(map(len, arrays)) <= 1 << 13
+    assert sorted(r["value"] for array in arrays for r in array) == list(map(float, range(20_000)))
+    # A task's row is a record, however long its array.
+    lines = landing._long_arrays(frame, 20, {"pretty": "true"}).agg(F.max(F.length("line")), F.count("line")).first()
+    assert lines[0] < 2_000 and lines[1] == 20_000
+    assert landing.write_array_files(frame.limit(0), str(tmp_path / "none"), bits=20) is None
+    assert list((tmp_path / "none").glob("part-*")) == []
+
+
 def test_folders_by_sensor_are_dealt_to_many_tasks(spark, tmp_path):
     """Not even Spark's least partition, 1 MB, is filled: still more than one task writes."""
     path = str(tmp_path / "tree")
@@ -262,4 +278,7 @@ def test_an_unknown_file_system_is_written_by_spark(spark, tmp_path, monkeypatch
     rows = spark.createDataFrame([(number, "pm1", 1.0, date(2024, 2, 3)) for number in range(5)], schema)
     assert landing.write_landing_files(rows, str(tmp_path / "data"), "day") == 5
     landing.write_landing(rows, str(tmp_path / "tree"), "day")
-    assert landing.landed_records(spark, str(tmp_path / "tree")).count() == 5
+    landing.write_array_files(rows, str(tmp_path / "short"), bits=1)
+    landing.write_array_files(rows, str(tmp_path / "long"), bits=20)
+    for name in ("tree", "short", "long"):
+        assert landing.landed_records(spark, str(tmp_path / name), glob="part-*").count() == 5, name
