@@ -12,7 +12,8 @@ n - ceil(t * n) + 1 of each, their prefixes.
 4. Groups meet at the shingles of their prefixes. Size and place in the prefix bound the
    overlap; pairs of groups that can't reach t are dropped. At first each group is paired with
    four neighbours in each of 64 orders only, which is linear in the prefixes.
-5. What the sketches allow is verified on the sets themselves.
+5. What the sketches allow is verified on the sets themselves. Pairs that hang together are
+   verified in one place, to which each text moves once, however many pairs name it.
 6. The links found give components. Then all other pairs of groups that meet and don't lie in
    one component are taken, without limit, each at the first shingle the two share; a row
    carries the last few meeting shingles before its own to tell, and a small sketch of the
@@ -38,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +60,7 @@ ORDERS = 64
 NEIGHBOURS = (1, 2, 3, 7)  # how far on, in each order
 EARLIER = 4  # meeting shingles before its own that a row carries
 TASK_ROWS = 1_000_000  # prefix shingles to a task
+CELL_SHINGLES = 4_000_000  # of sets verified together, before they are cut into blocks
 _LAST = np.uint64(1) << np.uint64(63)
 _NO_BOUND = b"\xff" * (COARSE // 2)  # in place of a small sketch: counts that don't fit, or several sets
 
@@ -334,47 +337,71 @@ def _promising(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return apart.select("rep_u", "rep_v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(released(run), "a long, b long").distinct()
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """rep, codes (ascending): sets of the wanted representatives, and of few
-    others that share their class in the bit map."""
-    known = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
-    marked = known.filter(IdMap(wanted, "id").maybe(F.col("doc_id")))
+def celled(pairs: DataFrame, sizes: DataFrame, most: int = CELL_SHINGLES) -> DataFrame:
+    """a, b, cell: pairs that hang together lie in one cell, so that each set moves once and not once
+    for each of its pairs. Of those with more than `most` shingles (sizes: rep, n) the sets fall into
+    blocks, and a cell holds the pairs of two blocks."""
+    near = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    named = ids.join(near.select(F.col("u").alias("id"), F.col("v").alias("label")), "id", "left").select(
+        "id", F.coalesce("label", "id").alias("label")
+    )
+    of = sizes.groupBy(F.col("rep").alias("id")).agg(F.sum("n").alias("n"))
+    blocks = named.join(of, "id").groupBy("label").agg(F.ceil(F.sum("n") / most).alias("blocks"))
+    placed = named.join(blocks, "label").select("id", "label", F.pmod(F.xxhash64("id"), "blocks").alias("block"))
+    one, two = (
+        placed.select(F.col("id").alias(side), F.col("block").alias(f"block_{side}"), F.col("label").alias(f"label_{side}"))
+        for side in ("a", "b")
+    )
+    return pairs.join(one, "a").join(two, "b").select(
+        "a", "b", F.xxhash64("label_a", F.least("block_a", "block_b"), F.greatest("block_a", "block_b")).alias("cell")
+    )
+
+
+def with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """cell, a, b, text: the pairs, and for each cell the texts (b null) that its pairs name."""
+    wanted = pairs.select(F.col("a").alias("doc_id"), "cell").union(pairs.select(F.col("b").alias("doc_id"), "cell")).distinct()
+    known = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
+    marked = known.filter(IdMap(wanted, "doc_id").maybe(F.col("doc_id"))).join(wanted, "doc_id")
+    return pairs.select("cell", "a", "b", F.lit(None).cast("string").alias("text")).union(
+        marked.select("cell", "doc_id", F.lit(None).cast("bigint"), "text")
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for kept in batches:
-            for start, data, offsets in slices(kept.column("text")):
-                codes, sizes = shingled(data, offsets, words)
-                codes, sizes = distinct(codes, sizes)
-                ends = np.concatenate([[0], np.cumsum(sizes)]) * 8
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        kept.column("doc_id").slice(start, len(sizes)),
-                        pa.BinaryArray.from_buffers(
-                            pa.binary(), len(sizes),
-                            [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(codes.astype("<u8"))],
-                        ),
-                    ],
-                    names=["rep", "codes"],
-                )
 
-    return marked.mapInArrow(released(run), "rep long, codes binary")
+def _alike(one: bytes, two: bytes, percent: int) -> bool:
+    both = np.concatenate([np.frombuffer(one, "<u8"), np.frombuffer(two, "<u8")])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared > 0 and 100 * shared >= percent * (len(both) - shared)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, words: int, percent: int, parts: int) -> DataFrame:
+    """Pairs whose sets reach t. Texts move, which take fewer bytes than their sets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[tuple[int, int], set[bytes]] = {}  # rows that repeat an id may have several
         for batch in batches:
-            ok = []
-            for one, two in zip(batch.column("c_u"), batch.column("c_v")):
-                x, y = np.frombuffer(one.as_py(), "<u8"), np.frombuffer(two.as_py(), "<u8")
-                both = np.concatenate([x, y])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                ok.append(100 * shared >= percent * (len(both) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    one = sets.select(F.col("rep").alias("a"), F.col("codes").alias("c_u"))
-    two = sets.select(F.col("rep").alias("b"), F.col("codes").alias("c_v"))
-    return pairs.join(one, "a").join(two, "b").mapInArrow(released(run), "a long, b long").distinct()
+            if not batch.num_rows:
+                continue
+            paired = batch.column("b").is_valid()
+            some, rest = batch.filter(paired), batch.filter(pc.invert(paired))
+            keys = list(zip(rest.column("cell").to_pylist(), rest.column("a").to_pylist()))
+            for start, data, offsets in slices(rest.column("text")):
+                codes, counts = distinct(*shingled(data, offsets, words))
+                ends = np.cumsum(counts)
+                for key, n, end in zip(keys[start:], counts.tolist(), ends.tolist()):
+                    sets.setdefault(key, set()).add(codes[end - n : end].astype("<u8").tobytes())
+            ok = [
+                any(_alike(x, y, percent) for x in sets.get((cell, one), ()) for y in sets.get((cell, two), ()))
+                for cell, one, two in zip(*(some.column(c).to_pylist() for c in ("cell", "a", "b")))
+            ]
+            yield some.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            last = batch.column("cell")[-1].as_py()
+            sets = {key: own for key, own in sets.items() if key[0] == last}
+
+    # A cell's texts come before its pairs; one cell is held at a time.
+    rows = with_texts(celled(pairs, sizes), docs).repartition(parts, "cell").sortWithinPartitions("cell", F.col("b").asc_nulls_first())
+    return rows.mapInArrow(released(run), "a long, b long")
 
 
 def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -412,9 +439,7 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     def links_of(wanted: DataFrame) -> DataFrame:
         wanted = _stored(wanted, "promising", paths)
-        ids = wanted.select(F.col("a").alias("id")).union(wanted.select(F.col("b").alias("id")))
-        sets = _stored(_sets(docs, ids, words), "sets", paths)
-        links = _verified(wanted, sets, percent)
+        links = _verified(wanted, members.select("rep", "n"), docs, words, percent, parts)
         return _stored(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "links", paths)
 
     first_pairs = _stored(neighbour_pairs(rows.union(inside), percent, parts), "pairs", paths)

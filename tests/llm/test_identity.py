@@ -108,3 +108,25 @@ def test_groups_with_one_prefix_and_crowds_below_the_threshold(spark, seed):
     for words, percent in ((4, 85), (5, 80)):
         found = {r["doc_id"]: r["component_id"] for r in jaccard_groups.linked(docs, words, percent).collect()}
         assert [found[i] for i in range(len(texts))] == _jaccard_brute(texts, words, percent)
+
+
+def test_each_text_moves_once_to_be_verified(spark):
+    """Thirty texts with all their 435 pairs, and a pair of its own."""
+    several = [(i, j) for i in range(30) for j in range(i + 1, 30)] + [(40, 41)]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60)] + [(None, "none"), (3, None)], "doc_id long, text string")
+    pairs = spark.createDataFrame(several, "a long, b long")
+    sizes = spark.createDataFrame([(i, 100) for i in range(60)], "rep long, n long")
+    for most, cells in ((100_000, 2), (1000, None)):
+        rows = jaccard_groups.with_texts(jaccard_groups.celled(pairs, sizes, most), docs).collect()
+        texts = {(r["cell"], r["a"]): r["text"] for r in rows if r["b"] is None}
+        assert len(texts) == sum(r["b"] is None for r in rows)
+        paired = [(r["cell"], r["a"], r["b"]) for r in rows if r["b"] is not None]
+        assert sorted((a, b) for _, a, b in paired) == several
+        # Both texts of a pair are where it is, and no others.
+        assert {key for c, a, b in paired for key in ((c, a), (c, b))} == set(texts)
+        assert all(text == f"text {i}" for (_, i), text in texts.items())
+        if cells:
+            assert len({c for c, _ in texts}) == cells and len(texts) == 32
+        else:
+            # 3000 shingles in three blocks: no cell has more texts than two blocks have.
+            assert len({c for c, _ in texts}) > 2 and max(sum(c == d for d, _ in texts) for c, _ in texts) < 30
