@@ -12,6 +12,7 @@ A text that holds a special token's own text is one chunk.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
 
@@ -260,3 +261,14 @@ def library_encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(
         library_resolver(tokenizer), [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     )
+
+
+@contextmanager
+def task_encoder(path: str) -> Iterator[ChunkEncoder]:
+    """The worker's encoder for one task; a worker that waits for the next keeps the tokenizer alone."""
+    encoder = library_encoder(path)
+    try:
+        yield encoder
+    finally:
+        encoder.forget()
+        _powers.cache_clear()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from hazeline.llm.chunked import library_encoder, slices
+from hazeline.llm.chunked import ChunkEncoder, slices, task_encoder
 from hazeline.llm.memory import released
 from hazeline.llm.shipping import ship
 
@@ -128,7 +128,10 @@ def pack(
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(tokenizer)
+        with task_encoder(tokenizer) as encoder:
+            yield from packed(batches, encoder)
+
+    def packed(batches: Iterator[pa.RecordBatch], encoder: ChunkEncoder) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << TASK_SHIFT
         tails: list[tuple[int | None, int, np.ndarray, int]] = []  # doc, start, ids, doc's tokens
         rows: list[tuple] = []

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from hazeline.llm import jaccard_groups, lexicon, packing, token_blocks
-from hazeline.llm.chunked import cut, library_encoder
+from hazeline.llm.chunked import _powers, cut, library_encoder
 from hazeline.llm.shingles import shingled
 from hazeline.llm.suffix_dedup import joined
 
@@ -130,3 +131,16 @@ def test_each_text_moves_once_to_be_verified(spark):
         else:
             # 3000 shingles in three blocks: no cell has more texts than two blocks have.
             assert len({c for c, _ in texts}) > 2 and max(sum(c == d for d, _ in texts) for c, _ in texts) < 30
+
+
+def test_waiting_workers_remember_no_chunks(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of some words") for i in range(64)], "doc_id long, text string")
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([library_encoder(BPE).n]), pa.array([_powers.cache_info().currsize])], names=["n", "powers"])
+
+    for _ in range(2):
+        assert packing.pack(docs.repartition(8), BPE).count() >= 64
+        rows = docs.repartition(8).mapInArrow(held, "n long, powers long").collect()
+        assert rows and {(r["n"], r["powers"]) for r in rows} == {(0, 0)}
