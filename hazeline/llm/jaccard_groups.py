@@ -94,7 +94,9 @@ def crowded_classes(docs: DataFrame, words: int) -> np.ndarray:
             [pa.array(np.append(out, -1)), pa.array(np.append(total[out].astype(np.int64), total.sum()))], names=["class", "n"]
         )
 
+    paths: list[str] = []
     counts = docs.select("text").mapInArrow(released(count), "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
+    counts = _stored(counts, "counts", paths)  # read twice below
     crowded = np.zeros(1 << CLASS_BITS, bool)
     whole = counts.filter("class = -1").first()
     if whole is not None and whole["n"]:
@@ -102,6 +104,7 @@ def crowded_classes(docs: DataFrame, words: int) -> np.ndarray:
         # At most 2**CLASS_BITS / CROWDED classes can be above the limit.
         for row in counts.filter((F.col("class") >= 0) & (F.col("n") > limit)).select("class").collect():
             crowded[row["class"]] = True
+    discard(docs.sparkSession, paths[0])
     return crowded
 
 
@@ -337,10 +340,11 @@ def _promising(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return apart.select("rep_u", "rep_v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(released(run), "a long, b long").distinct()
 
 
-def celled(pairs: DataFrame, sizes: DataFrame, most: int = CELL_SHINGLES) -> DataFrame:
+def celled(pairs: DataFrame, sizes: DataFrame, most: int = CELL_SHINGLES, paths: list[str] | None = None) -> DataFrame:
     """a, b, cell: pairs that hang together lie in one cell, so that each set moves once and not once
     for each of its pairs. Of those with more than `most` shingles (sizes: rep, n) the sets fall into
-    blocks, and a cell holds the pairs of two blocks."""
+    blocks, and a cell holds the pairs of two blocks. Written once; `paths` gets the folders."""
+    paths = [] if paths is None else paths
     near = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     named = ids.join(near.select(F.col("u").alias("id"), F.col("v").alias("label")), "id", "left").select(
@@ -349,13 +353,15 @@ def celled(pairs: DataFrame, sizes: DataFrame, most: int = CELL_SHINGLES) -> Dat
     of = sizes.groupBy(F.col("rep").alias("id")).agg(F.sum("n").alias("n"))
     blocks = named.join(of, "id").groupBy("label").agg(F.ceil(F.sum("n") / most).alias("blocks"))
     placed = named.join(blocks, "label").select("id", "label", F.pmod(F.xxhash64("id"), "blocks").alias("block"))
+    placed = _stored(placed, "placed", paths)
     one, two = (
         placed.select(F.col("id").alias(side), F.col("block").alias(f"block_{side}"), F.col("label").alias(f"label_{side}"))
         for side in ("a", "b")
     )
-    return pairs.join(one, "a").join(two, "b").select(
+    cells = pairs.join(one, "a").join(two, "b").select(
         "a", "b", F.xxhash64("label_a", F.least("block_a", "block_b"), F.greatest("block_a", "block_b")).alias("cell")
     )
+    return _stored(cells, "cells", paths)
 
 
 def with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -375,7 +381,7 @@ def _alike(one: bytes, two: bytes, percent: int) -> bool:
     return shared > 0 and 100 * shared >= percent * (len(both) - shared)
 
 
-def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, words: int, percent: int, parts: int) -> DataFrame:
+def _verified(cells: DataFrame, docs: DataFrame, words: int, percent: int, parts: int) -> DataFrame:
     """Pairs whose sets reach t. Texts move, which take fewer bytes than their sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,7 +406,7 @@ def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, words: int, p
             sets = {key: own for key, own in sets.items() if key[0] == last}
 
     # A cell's texts come before its pairs; one cell is held at a time.
-    rows = with_texts(celled(pairs, sizes), docs).repartition(parts, "cell").sortWithinPartitions("cell", F.col("b").asc_nulls_first())
+    rows = with_texts(cells, docs).repartition(parts, "cell").sortWithinPartitions("cell", F.col("b").asc_nulls_first())
     return rows.mapInArrow(released(run), "a long, b long")
 
 
@@ -439,7 +445,8 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     def links_of(wanted: DataFrame) -> DataFrame:
         wanted = _stored(wanted, "promising", paths)
-        links = _verified(wanted, members.select("rep", "n"), docs, words, percent, parts)
+        cells = celled(wanted, members.select("rep", "n"), paths=paths)
+        links = _verified(cells, docs, words, percent, parts)
         return _stored(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "links", paths)
 
     first_pairs = _stored(neighbour_pairs(rows.union(inside), percent, parts), "pairs", paths)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from hazeline.llm import jaccard_groups, lexicon, packing, token_blocks
+from hazeline.llm import components, jaccard_groups, lexicon, packing, token_blocks
 from hazeline.llm.chunked import _powers, cut, library_encoder
 from hazeline.llm.shingles import shingled
 from hazeline.llm.suffix_dedup import joined
@@ -144,3 +146,44 @@ def test_waiting_workers_remember_no_chunks(spark):
         assert packing.pack(docs.repartition(8), BPE).count() >= 64
         rows = docs.repartition(8).mapInArrow(held, "n long, powers long").collect()
         assert rows and {(r["n"], r["powers"]) for r in rows} == {(0, 0)}
+
+
+def _jobs(spark, run):
+    """What run() returns, and how many jobs it took."""
+    context = spark.sparkContext
+    context.setJobGroup(group := uuid4().hex, "counted")
+    try:
+        found = run()
+        return found, len(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+
+
+def test_components_take_few_jobs(spark):
+    """A path in mixed order, two chains that meet at their greatest node, a clique, a star, copies, nulls."""
+    draw = np.random.default_rng(3)
+    path = draw.permutation(300).tolist()
+    links = list(zip(path, path[1:])) + [(1000 + i, 1002 + i) for i in range(80)] + [(1080, 1081)]
+    links += [(2000 + i, 2000 + j) for i in range(25) for j in range(i)] + [(3000 + i, 3199) for i in range(200)]
+    links += [(4001, 4001), (4003, 4002), (4002, 4003), (None, 4004), (4005, None), (-5, 4006)]
+    frame = spark.createDataFrame(links, "u long, v long").repartition(6)
+    rows, jobs = _jobs(spark, lambda: components.components(frame).collect())
+    wanted = {i: 0 for i in range(1, 300)} | {i: 1000 for i in range(1001, 1082)} | {i: 2000 for i in range(2001, 2025)}
+    wanted |= {i: 3000 for i in range(3001, 3200)} | {4003: 4002, 4006: -5}
+    assert len(rows) == len(wanted) and {r["u"]: r["v"] for r in rows} == wanted
+    assert jobs <= 60, jobs
+
+
+def test_lots_of_links_hang_a_node_once():
+    """Links in order of u, cut into lots in the middle of a node's links."""
+    links = [(9, 1), (9, 2), (9, 3), (9, 4), (10, 4), (10, 5), (11, 9)]
+    batches = [pa.RecordBatch.from_pylist([{"u": u, "v": v} for u, v in links[i : i + 2]]) for i in range(0, 7, 2)]
+    held, components.HELD = components.HELD, 2
+    try:
+        out = [tuple(r.values()) for batch in components._forests(iter(batches)) for r in batch.to_pylist()]
+    finally:
+        components.HELD = held
+    assert sorted(u for u, _ in out if u > 8) == [9, 10, 11] and all(u > v for u, v in out)
+    u, v = components.forest(*(np.array(c) for c in zip(*out)))
+    assert dict(zip(u.tolist(), v.tolist())) == {i: 1 for i in (2, 3, 4, 5, 9, 10, 11)}
