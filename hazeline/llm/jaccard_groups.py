@@ -51,6 +51,7 @@ from hazeline.llm.memory import released
 from hazeline.llm.shingles import _mixed, distinct, shingled
 from hazeline.llm.shipping import ship
 from hazeline.scratch import discard, new_dir
+from hazeline.session import settings
 
 CLASS_BITS = 22
 CROWDED = 4.0  # times the mean count of a class
@@ -60,6 +61,8 @@ ORDERS = 64
 NEIGHBOURS = (1, 2, 3, 7)  # how far on, in each order
 EARLIER = 4  # meeting shingles before its own that a row carries
 TASK_ROWS = 1_000_000  # prefix shingles to a task
+# Texts and rows go to the Python workers in lots of so many bytes; a worker holds several copies of one.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
 CELL_SHINGLES = 4_000_000  # of sets verified together, before they are cut into blocks
 _LAST = np.uint64(1) << np.uint64(63)
 _NO_BOUND = b"\xff" * (COARSE // 2)  # in place of a small sketch: counts that don't fit, or several sets
@@ -412,6 +415,11 @@ def _verified(cells: DataFrame, docs: DataFrame, words: int, percent: int, parts
 
 def linked(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (least document reached by links, itself included)."""
+    with settings(docs.sparkSession, **BATCH):
+        return _linked(docs, words, percent)
+
+
+def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     paths: list[str] = []

@@ -187,3 +187,20 @@ def test_lots_of_links_hang_a_node_once():
     assert sorted(u for u, _ in out if u > 8) == [9, 10, 11] and all(u > v for u, v in out)
     u, v = components.forest(*(np.array(c) for c in zip(*out)))
     assert dict(zip(u.tolist(), v.tolist())) == {i: 1 for i in (2, 3, 4, 5, 9, 10, 11)}
+
+
+def test_workers_get_texts_in_small_lots(spark, monkeypatch):
+    name, seen, verified = "spark.sql.execution.arrow.maxBytesPerBatch", [], jaccard_groups._verified
+
+    def watched(*given):
+        seen.append(spark.conf.get(name))
+        return verified(*given)
+
+    monkeypatch.setattr(jaccard_groups, "_verified", watched)
+    before = spark.conf.get(name, None)
+    texts = [" ".join([*(f"w{i // 2}.{k}" for k in range(20)), f"x{i % 2}"]) for i in range(8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, jobs = _jobs(spark, lambda: jaccard_groups.linked(docs, 4, 85).collect())
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i // 2 * 2 for i in range(8)}
+    assert set(seen) == {"2m"} and spark.conf.get(name, None) == before
+    assert jobs <= 150, jobs
