@@ -1,13 +1,14 @@
 """N-gram Jaccard join by groups with a common prefix.
 
 Shingles stand in one order for all documents: those of crowded hash classes last, else by
-code. Two sets with a Jaccard similarity of t or more share a shingle among the first
-n - ceil(t * n) + 1 of each, their prefixes.
+code. Two sets with a Jaccard similarity of t or more share k shingles among the first
+n - ceil(t * n) + k of each, their prefixes. k is 2 for long sets, which often meet by chance once
+but hardly ever twice, else 1; a pair goes by the k of its lesser set.
 
 1. Count the hash classes of all shingles; classes far above the mean are crowded.
 2. Per document: size of its set, keys of the set and of the prefix, the prefix, and a sketch
-   (how many shingles fall in each of 128 classes; the sums of the lesser counts bound the
-   overlap from above).
+   (how many shingles fall in each of 128 classes, or of more for a long set, so that a class has
+   few; the sums of the lesser counts bound the overlap from above).
 3. Documents with one set become one; sets with one prefix and one size become a group.
 4. Groups meet at the shingles of their prefixes. Size and place in the prefix bound the
    overlap; pairs of groups that can't reach t are dropped. At first each group is paired with
@@ -15,9 +16,10 @@ n - ceil(t * n) + 1 of each, their prefixes.
 5. What the sketches allow is verified on the sets themselves. Pairs that hang together are
    verified in one place, to which each text moves once, however many pairs name it.
 6. The links found give components. Then all other pairs of groups that meet and don't lie in
-   one component are taken, without limit, each at the first shingle the two share; a row
+   one component are taken, without limit, each at the first k shingles the two share; a row
    carries the last few meeting shingles before its own to tell, and a small sketch of the
-   set that drops most pairs out of reach where they meet. Only the pairs left are
+   set that drops most pairs out of reach where they meet. Pairs that met less than k times are
+   dropped. Only the pairs left are
    expanded to their members, and members of different components verified: no link between
    components is lost, and pairs inside one component change nothing.
 
@@ -55,7 +57,9 @@ from hazeline.session import settings
 
 CLASS_BITS = 22
 CROWDED = 4.0  # times the mean count of a class
+LONG = 256  # shingles of a set that has to meet another twice
 SKETCH = 128
+CLASS_SHINGLES = 8  # of a set in a class of its sketch, at most, on average
 COARSE = 64  # classes of the small sketch that prefix rows carry, four bits each
 ORDERS = 64
 NEIGHBOURS = (1, 2, 3, 7)  # how far on, in each order
@@ -80,6 +84,16 @@ def least_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (a + b) // (100 + percent))
 
 
+def meetings(n):
+    """Shingles that a set of so many has to share with a larger one among their prefixes."""
+    return 1 + (n >= LONG)
+
+
+def sketch_classes(n: int) -> int:
+    """Classes of the sketch of a set of so many: SKETCH times a power of two."""
+    return SKETCH << max(0, -(-n // (SKETCH * CLASS_SHINGLES)) - 1).bit_length()
+
+
 def crowded_classes(docs: DataFrame, words: int) -> np.ndarray:
     """Which of the 2**CLASS_BITS classes of shingle codes are crowded."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,8 +148,9 @@ def described(docs: DataFrame, words: int, percent: int, crowded: np.ndarray) ->
                 columns: list[list] = [[] for _ in range(8)]
                 for n, end in zip(sizes.tolist(), ends.tolist()):
                     own = codes[end - n : end]
-                    prefix = own[: n - -(-percent * n // 100) + 1] if n else own
-                    sketch = np.bincount((own & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+                    prefix = own[: n - -(-percent * n // 100) + meetings(n)] if n else own
+                    most = sketch_classes(n)
+                    sketch = np.bincount((own & np.uint64(most - 1)).astype(np.int64), minlength=most)
                     # A byte for each count where all fit, else four.
                     kind = "<u1" if sketch.max(initial=0) < 256 else "<u4"
                     coarse = sketch.reshape(-1, COARSE).sum(axis=0)
@@ -159,9 +174,10 @@ def described(docs: DataFrame, words: int, percent: int, crowded: np.ndarray) ->
     )
 
 
-def _near(n1, p1, n2, p2, percent: int) -> np.ndarray:
-    """Whether sizes n1 <= n2 that meet at places p1, p2 of their prefixes can reach t."""
-    most = 1 + np.minimum(n1 - p1, n2 - p2) - 1
+def _near(n1, p1, n2, p2, percent: int, before=0) -> np.ndarray:
+    """Whether sizes n1 <= n2 that meet at places p1, p2 of their prefixes can reach t, if they met
+    `before` times already."""
+    most = before + np.minimum(n1 - p1, n2 - p2)
     return (100 * n1 >= percent * n2) & (most >= least_overlap(n1, n2, percent))
 
 
@@ -252,12 +268,12 @@ def with_earlier(rows: DataFrame) -> DataFrame:
 
 
 def _shared_earlier(earlier: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether two rows carry a common shingle; absent ones are told apart by their sides."""
-    out = np.zeros(len(i), bool)
+    """How many shingles two rows carry in common; absent ones are none."""
+    out = np.zeros(len(i), np.int64)
     for low in range(0, len(i), 50_000):
         one, two = earlier[i[low : low + 50_000]], earlier[j[low : low + 50_000]]
         same = (one[:, :, None] == two[:, None, :]) & (one[:, :, None] >= 0)
-        out[low : low + 50_000] = same.any(axis=(1, 2))
+        out[low : low + 50_000] = same.sum(axis=(1, 2))
     return out
 
 
@@ -272,8 +288,15 @@ def _most_shared(coarse: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray
 
 
 def crossing_groups(rows: DataFrame, percent: int, parts: int) -> DataFrame:
-    """All pairs of groups that meet and whose members are not all of one component; rows have
-    the least and the greatest component of the group, `low` and `high`, `earlier` and `coarse`."""
+    """All pairs of groups that meet often enough and whose members are not all of one component;
+    rows have the least and the greatest component of the group, `low` and `high`, `earlier` and
+    `coarse`."""
+
+    def counted(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        a, b, need = (np.concatenate(c) for c in zip(*held))
+        met = np.stack([np.minimum(a, b), np.maximum(a, b), need], axis=1)
+        met, times = np.unique(met, axis=0, return_counts=True) if len(met) else (met, np.zeros(0, np.int64))
+        return pa.RecordBatch.from_arrays([*map(pa.array, met.T), pa.array(times)], names=["a", "b", "need", "times"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["token", "gid", "n", "place", "low", "high", "coarse", *(f"e{k}" for k in range(EARLIER))]
@@ -283,7 +306,7 @@ def crossing_groups(rows: DataFrame, percent: int, parts: int) -> DataFrame:
         free = (coarse == 255).all(axis=1)
         earlier = np.stack(columns[7:], axis=1)
         n, place = n.astype(np.int64), place.astype(np.int64)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         count = 0
         for begin, end in zip(begins[:-1].tolist(), begins[1:].tolist()):
             if (least[begin:end] == least[begin]).all() and (greatest[begin:end] == least[begin]).all():
@@ -296,18 +319,20 @@ def crossing_groups(rows: DataFrame, percent: int, parts: int) -> DataFrame:
                 j = np.arange(low + 1, int(reach[high - begin - 1]))[None, :]
                 ok = (j > i) & ((least[i] != greatest[j]) | (greatest[i] != least[j]))
                 i, j = (x[ok] for x in np.broadcast_arrays(i, j))
-                ok = _near(n[i], place[i], n[j], place[j], percent)
+                # The lesser set comes first. None of its first `need` meetings is left out here.
+                ok = _near(n[i], place[i], n[j], place[j], percent, meetings(n[i]) - 1)
                 i, j = i[ok], j[ok]
                 ok = free[i] | free[j] | (_most_shared(coarse, i, j) >= least_overlap(n[i], n[j], percent))
                 i, j = i[ok], j[ok]
-                first = ~_shared_earlier(earlier, i, j)
-                held.append((gid[i[first]], gid[j[first]]))
+                need = meetings(n[i])
+                first = _shared_earlier(earlier, i, j) < need
+                held.append((gid[i[first]], gid[j[first]], need[first]))
                 count += len(held[-1][0])
                 if count > 1_000_000:
-                    yield _pairs(*(np.concatenate(c) for c in zip(*held)))
+                    yield counted(held)
                     held, count = [], 0
         if held:
-            yield _pairs(*(np.concatenate(c) for c in zip(*held)))
+            yield counted(held)
 
     # Codes are never negative but for crowded shingles; absent ones are -1 once shifted.
     carried = [
@@ -315,13 +340,30 @@ def crossing_groups(rows: DataFrame, percent: int, parts: int) -> DataFrame:
         for k in range(EARLIER)
     ]
     flat = rows.select("token", "gid", "n", "place", "low", "high", "coarse", *carried)
-    return flat.repartition(parts, "token").mapInArrow(released(run), "a long, b long").distinct()
-
-
-def _counts(sketches: list[bytes]) -> np.ndarray:
-    if all(len(sketch) == SKETCH for sketch in sketches):
-        return np.frombuffer(b"".join(sketches), "<u1").reshape(-1, SKETCH)
-    return np.stack([np.frombuffer(s, "<u1" if len(s) == SKETCH else "<u4").astype("<u4") for s in sketches])
+    met = flat.repartition(parts, "token").mapInArrow(released(run), "a long, b long, need long, times long")
+    # Two groups that go by one id may differ in need.
+    often = met.groupBy("a", "b").agg(F.min("need").alias("need"), F.sum("times").alias("times")).filter("times >= need")
+    return often.select("a", "b")
+
+
+def _counts(sketch: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(sketch, "<u1" if len(sketch) == sketch_classes(n) else "<u4")
+
+
+def sketched_overlap(one: list[bytes], n: np.ndarray, two: list[bytes], m: np.ndarray) -> np.ndarray:
+    """Upper bounds of overlaps, from the sketches of sets of sizes n and m."""
+    out = np.empty(len(one), np.int64)
+    small = np.array([len(s) == len(t) == SKETCH for s, t in zip(one, two)], bool)
+    some = np.flatnonzero(small).tolist()
+    s, t = (np.frombuffer(b"".join(side[i] for i in some), "<u1").reshape(-1, SKETCH) for side in (one, two))
+    out[small] = np.minimum(s, t).sum(axis=1, dtype=np.int64)
+    for i in np.flatnonzero(~small).tolist():
+        s, t = _counts(one[i], int(n[i])), _counts(two[i], int(m[i]))
+        # The finer one is brought to the classes of the other.
+        width = min(len(s), len(t))
+        s, t = (c.reshape(-1, width).sum(axis=0, dtype=np.int64) if len(c) > width else c for c in (s, t))
+        out[i] = np.minimum(s, t).sum(dtype=np.int64)
+    return out
 
 
 def _promising(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -334,9 +376,9 @@ def _promising(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            s, t = (_counts(batch.column(c).to_pylist()) for c in ("sketch_u", "sketch_v"))
+            s, t = (batch.column(c).to_pylist() for c in ("sketch_u", "sketch_v"))
             n, m = batch.column("n_u").to_numpy(), batch.column("n_v").to_numpy()
-            ok = np.minimum(s, t).sum(axis=1, dtype=np.int64) >= least_overlap(n, m, percent)
+            ok = sketched_overlap(s, n, t, m) >= least_overlap(n, m, percent)
             yield _pairs(batch.column("rep_u").to_numpy()[ok], batch.column("rep_v").to_numpy()[ok])
 
     apart = pairs.join(one, "a").join(two, "b").filter("label_u <> label_v")

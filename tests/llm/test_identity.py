@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from hazeline.llm import components, jaccard_groups, lexicon, packing, token_blocks
@@ -204,3 +205,60 @@ def test_workers_get_texts_in_small_lots(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in found} == {i: i // 2 * 2 for i in range(8)}
     assert set(seen) == {"2m"} and spark.conf.get(name, None) == before
     assert jobs <= 150, jobs
+
+
+def test_long_sets_have_to_meet_twice(spark):
+    rows = [
+        (7, 1, 300, 3), (7, 2, 310, 5),  # once
+        (8, 3, 300, 3), (8, 4, 310, 5), (9, 3, 300, 6), (9, 4, 310, 9),  # twice
+        (8, 5, 240, 3), (7, 6, 240, 2), (7, 5, 240, 4),  # 5 meets 3 and 4 once, 1 and 2 once, 6 once, all by the lesser
+    ]
+    frame = spark.createDataFrame(rows, "token long, gid long, n int, place int").selectExpr(
+        "*", "gid AS low", "gid AS high", "false AS mixed"
+    ).withColumn("coarse", F.lit(jaccard_groups._NO_BOUND))
+    pairs = jaccard_groups.crossing_groups(jaccard_groups.with_earlier(frame), 75, 4).collect()
+    assert sorted((r["a"], r["b"]) for r in pairs) == [(1, 5), (1, 6), (2, 5), (2, 6), (3, 4), (3, 5), (4, 5), (5, 6)]
+
+
+@pytest.mark.parametrize("first_round", [True, False])
+def test_links_of_long_texts_near_the_threshold(spark, monkeypatch, first_round):
+    """Sets of 230 to 2,300 shingles in families whose shares lie about t; without the first round
+    every link has to be found by the second."""
+    if not first_round:
+        monkeypatch.setattr(
+            jaccard_groups, "neighbour_pairs", lambda rows, *_: spark.createDataFrame([], "a long, b long")
+        )
+    draw = np.random.default_rng(5)
+    texts = []
+    for family, size in enumerate((235, 252, 258, 270, 400, 1100, 2300)):
+        base = [f"{family}w{k}" for k in range(size)]
+        for share in draw.uniform(0.005, 0.06, 9):
+            own = list(base)
+            for at in draw.integers(0, size, max(1, int(share * size))).tolist():
+                own[at] = f"x{int(draw.integers(0, 10**6))}"
+            texts.append(" ".join(own[: size - int(draw.integers(0, size // 12))]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    for words, percent in ((4, 85), (5, 80)):
+        found = {r["doc_id"]: r["component_id"] for r in jaccard_groups.linked(docs, words, percent).collect()}
+        assert [found[i] for i in range(len(texts))] == _jaccard_brute(texts, words, percent)
+        assert 7 < len(set(found.values())) < len(texts)
+
+
+def test_sketches_of_long_sets_tell_strangers():
+    """Strangers of 10,000 shingles are out of reach; no bound is below the overlap."""
+    draw = np.random.default_rng(3)
+
+    def sketch(codes):
+        most = jaccard_groups.sketch_classes(len(codes))
+        return np.bincount(codes % most, minlength=most).astype("<u1").tobytes()
+
+    codes = draw.choice(10**9, 30_000, replace=False)
+    sets = [codes[:10_000], codes[10_000:20_000], codes[1_000:9_000], codes[5_000:6_000], codes[:100]]
+    for one in sets:
+        for two in sets:
+            n, m = np.array([len(one)]), np.array([len(two)])
+            bound = jaccard_groups.sketched_overlap([sketch(one)], n, [sketch(two)], m)[0]
+            assert bound >= len(np.intersect1d(one, two))
+    n = np.array([10_000])
+    stranger = jaccard_groups.sketched_overlap([sketch(sets[0])], n, [sketch(sets[1])], n)
+    assert stranger[0] < jaccard_groups.least_overlap(n, n, 80)[0]
